@@ -13,98 +13,107 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _DOTTED = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
 
 
-def target_parts(url: Column) -> Column:
-    """struct(scheme, authority, host, readable) of a URL; the host has no port and no brackets."""
-    authority = F.try_parse_url(url, F.lit("AUTHORITY"))
-    host = F.regexp_extract(authority, r"^(?:.*@)?(\[[^\]]*\]|[^:]*)", 1)
-    scheme = F.lower(F.try_parse_url(url, F.lit("PROTOCOL")))
-    return F.struct(
-        scheme.alias("scheme"), authority.alias("authority"),
-        F.lower(F.regexp_replace(host, r"[\[\]]", "")).alias("host"),
-        (scheme.isNotNull() | F.try_parse_url(url, F.lit("PATH")).isNotNull()).alias("readable"),
+def _with_target(rows: DataFrame, url: str) -> DataFrame:
+    """Add the pieces of a URL step by step, each a column of its own.
+
+    Separate steps matter: an expression used several times by the next step is computed once per row
+    instead of being copied into every use.
+    """
+    link = F.col(url)
+    hextets = r"^(?:0{0,4}:){1,6}ffff:([0-9a-f]{1,4}):([0-9a-f]{1,4})$"
+
+    def half(index: int) -> Column:
+        return F.conv(F.regexp_extract("__bare", hextets, index), 16, 10).try_cast("bigint")
+
+    both = half(1) * 65536 + half(2)
+    dotted = F.concat_ws(".", *[
+        F.shiftright(both, shift).bitwiseAND(F.lit(255)).cast("string") for shift in (24, 16, 8, 0)
+    ])
+    return (
+        # Generic URI syntax; Java's parser refuses addresses that web clients accept.
+        rows.withColumns({
+            "__scheme": F.lower(F.regexp_extract(link, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)),
+            "__authority": F.regexp_extract(link, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1),
+        })
+        .withColumn("__server", F.regexp_replace("__authority", "^.*@", ""))
+        .withColumn("__unreadable", _unreadable(link))
+        # No port, no credentials, no brackets.
+        .withColumn("host", F.lower(F.translate(F.regexp_extract("__server", r"^(\[[^\]]*\]|[^:]*)", 1), "[]", "")))
+        .withColumn("__bare", F.substring_index("host", "%", 1))
+        # The dotted form of an IPv4 address, also of one written inside an IPv6 address.
+        .withColumn("__v4", F.when(F.col("__bare").rlike(rf"^{_DOTTED}$"), F.col("__bare"))
+                    .when(F.col("__bare").rlike(rf"^(?:0{{0,4}}:){{1,6}}ffff:{_DOTTED}$"),
+                          F.substring_index("__bare", ":", -1))
+                    .when(F.col("__bare").rlike(hextets), dotted))
+        .withColumn("__octets", F.split("__v4", r"\.").cast("array<int>"))
+        .withColumn("__kind", _address_kind())
     )
 
 
-def _private_v4(host: Column) -> Column:
-    part = F.split(host, r"\.")
+def _unreadable(link: Column) -> Column:
+    """Control characters, a colon before any scheme, a broken escape, or a host or port that cannot be."""
+    colon_first = (F.col("__scheme") == "") & link.rlike(r"^[^/?#]*:")
+    broken_escape = F.regexp_replace(link, r"\?[^#]*", "").rlike(r"%(?![0-9A-Fa-f]{2})")
+    bad_server = ~F.col("__server").rlike(r"^(?:\[[^\]]*\]|[^\s^`{|}\\\[\]:]*)(?::[0-9]*)?$")
+    return F.coalesce(link.rlike(r"[\x00-\x1f\x7f]") | colon_first | broken_escape | bad_server, F.lit(False))
 
-    def octet(index: int) -> Column:
-        return F.try_element_at(part, F.lit(index + 1)).try_cast("int")
 
-    first, second, third = octet(0), octet(1), octet(2)
-    return (
-        (first == 10) | (first == 127)
+def _address_kind() -> Column:
+    """PRIVATE or PUBLIC for a literal address, NAME for anything that would have to be resolved."""
+    first, second, third = (F.col("__octets")[i] for i in range(3))
+    private_v4 = (
+        first.isin(10, 127)
         | ((first == 172) & second.between(16, 31))
         | ((first == 192) & (second == 168))
         | ((first == 169) & (second == 254))
         | ((first == 224) & (second == 0) & (third == 0))
-        | (host == "0.0.0.0")
+        | (F.col("__v4") == "0.0.0.0")
     )
-
-
-def _private_v6(host: Column) -> Column:
-    bare = F.regexp_replace(host, "%.*$", "")
-    dotted = F.regexp_extract(bare, rf"^(?:0{{0,4}}:){{1,6}}ffff:({_DOTTED})$", 1)
-    high = F.regexp_extract(bare, r"^(?:0{0,4}:){1,6}ffff:([0-9a-f]{1,4}):([0-9a-f]{1,4})$", 1)
-    low = F.regexp_extract(bare, r"^(?:0{0,4}:){1,6}ffff:([0-9a-f]{1,4}):([0-9a-f]{1,4})$", 2)
-    number = F.conv(F.when(high != "", high), 16, 10).try_cast("int") * 65536 + F.conv(
-        F.when(low != "", low), 16, 10).try_cast("int")
-    hexed = F.concat_ws(".", *[
-        F.shiftright(number.cast("bigint"), shift).bitwiseAND(F.lit(255)).cast("string") for shift in (24, 16, 8, 0)
-    ])
-    return (
-        bare.rlike(r"^(?:0{0,4}:){1,7}:?0{0,3}1$")        # loopback
-        | bare.rlike(r"^[0:]+$")                          # unspecified
-        | bare.rlike(r"^f[cd][0-9a-f]{2}:")               # private
-        | bare.rlike(r"^fe[89ab][0-9a-f]:")               # link-local
-        | bare.rlike(r"^ff[0-9a-f]2:")                    # link-local multicast
-        | ((dotted != "") & F.coalesce(_private_v4(dotted), F.lit(False)))
-        | ((high != "") & F.coalesce(_private_v4(hexed), F.lit(False)))
+    private_v6 = F.col("__bare").rlike(
+        r"^(?:0{0,4}:){1,7}:?0{0,3}1$"      # loopback
+        r"|^[0:]+$"                         # unspecified
+        r"|^f[cd][0-9a-f]{2}:"              # private
+        r"|^fe[89ab][0-9a-f]:"              # link-local
+        r"|^ff[0-9a-f]2:"                   # link-local multicast
     )
-
-
-def address_kind(host: Column) -> Column:
-    """PRIVATE or PUBLIC for a literal address, NAME for anything that would have to be resolved."""
-    v4 = host.rlike(rf"^{_DOTTED}$")
-    v6 = host.rlike(r"^[0-9a-f]*:[0-9a-f:.]*(?:%.*)?$")
+    v6 = F.col("__bare").rlike(r"^[0-9a-f]*:[0-9a-f:.]*$")
     return (
-        F.when(v4, F.when(_private_v4(host), "PRIVATE").otherwise("PUBLIC"))
-        .when(v6, F.when(_private_v6(host), "PRIVATE").otherwise("PUBLIC"))
+        F.when(F.col("__v4").isNotNull(), F.when(private_v4, "PRIVATE").otherwise("PUBLIC"))
+        .when(v6, F.when(private_v6, "PRIVATE").otherwise("PUBLIC"))
         .otherwise("NAME")
     )
 
 
-def target_verdict(parts: Column, allowed: Column, allow_private: bool = False) -> Column:
-    """struct(verdict, reason). Names that are not on the allowlist stay UNRESOLVED, never SAFE."""
-    kind = address_kind(parts["host"])
-    private = (kind == "PRIVATE") & F.lit(not allow_private)
-    unsafe = (
-        F.when(~F.coalesce(parts["scheme"].isin("http", "https"), F.lit(False)), "webhook URL must use http or https")
-        .when(F.contains(parts["authority"], F.lit("@")), "webhook URL must not contain credentials")
-        .when(F.coalesce(parts["host"], F.lit("")) == "", "webhook URL requires a host")
-        .when(private & ~allowed, "webhook target resolves to a private or local address")
-    )
-    return F.struct(
-        F.when(~F.coalesce(parts["readable"], F.lit(False)), "INVALID_URL")
-        .when(unsafe.isNotNull(), "UNSAFE_WEBHOOK_TARGET")
-        .when(allowed, "ALLOWED").when(kind == "NAME", "UNRESOLVED").otherwise("SAFE").alias("verdict"),
-        F.when(~F.coalesce(parts["readable"], F.lit(False)), "webhook URL is invalid").otherwise(unsafe).alias("reason"),
-    )
-
-
 def classify_targets(rows: DataFrame, allowlist: Sequence[str] | DataFrame = (), url: str = "url",
                      allow_private: bool = False) -> DataFrame:
-    """Add host, verdict and reason to rows with a URL. The allowlist is a few names or a table ``host``."""
-    parsed = rows.withColumn("__target", target_parts(F.col(url))).withColumn("host", F.col("__target.host"))
+    """Add host, verdict and reason to rows with a URL.
+
+    The allowlist is a few names or a table ``host``. Listed hosts skip the address check; names that
+    are not listed stay UNRESOLVED, never SAFE, because nothing is looked up.
+    """
+    parsed = _with_target(rows, url)
     if isinstance(allowlist, DataFrame):
-        listed = allowlist.select(F.lower(F.trim("host")).alias("host")).distinct().withColumn("__allowed", F.lit(True))
+        listed = allowlist.select(F.lower(F.trim("host")).alias("host")).distinct().withColumn("__listed", F.lit(True))
         parsed = parsed.join(listed, "host", "left")
-        allowed = F.coalesce("__allowed", F.lit(False))
     else:
         names = sorted({name.strip().lower() for name in allowlist})
-        allowed = F.coalesce(F.col("host").isin(*names), F.lit(False)) if names else F.lit(False)
-    return parsed.withColumn("__verdict", target_verdict(F.col("__target"), allowed, allow_private)).select(
-        *rows.columns, "host", "__verdict.verdict", "__verdict.reason"
+        parsed = parsed.withColumn("__listed", F.col("host").isin(*names) if names else F.lit(False))
+    allowed = F.coalesce("__listed", F.lit(False))
+    unreadable = F.col("__unreadable")
+    private = (F.col("__kind") == "PRIVATE") & F.lit(not allow_private)
+    reason = (
+        F.when(unreadable, "webhook URL is invalid")
+        .when(~F.coalesce(F.col("__scheme").isin("http", "https"), F.lit(False)), "webhook URL must use http or https")
+        .when(F.contains(F.col("__authority"), F.lit("@")), "webhook URL must not contain credentials")
+        .when(F.coalesce("host", F.lit("")) == "", "webhook URL requires a host")
+        .when(private & ~allowed, "webhook target resolves to a private or local address")
+    )
+    verdict = (
+        F.when(unreadable, "INVALID_URL").when(F.col("reason").isNotNull(), "UNSAFE_WEBHOOK_TARGET")
+        .when(allowed, "ALLOWED").when(F.col("__kind") == "NAME", "UNRESOLVED").otherwise("SAFE")
+    )
+    return parsed.withColumn("reason", reason).withColumn("verdict", verdict).select(
+        *rows.columns, "host", "verdict", "reason"
     )
 
 

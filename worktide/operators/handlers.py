@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from worktide.functions import rules as R
 
@@ -48,9 +49,9 @@ def apply_row_handlers(jobs: DataFrame, handlers: Mapping[str, RowHandler]) -> D
     HANDLER_ERROR and may be retried.
     """
     schema = jobs.schema
-    for name, kind in (("result", "string"), ("kind", "string"), ("code", "string"), ("typed_retryable", "boolean"),
-                       ("message", "string"), ("retry_after_seconds", "int")):
-        schema = schema.add(name, kind) if name not in schema.names else schema
+    kinds = {"result": T.StringType(), "kind": T.StringType(), "code": T.StringType(),
+             "typed_retryable": T.BooleanType(), "message": T.StringType(), "retry_after_seconds": T.IntegerType()}
+    schema = T.StructType([*jobs.schema.fields, *[T.StructField(name, kind) for name, kind in kinds.items()]])
     table = dict(handlers)
 
     def run(row: dict) -> tuple:
@@ -66,12 +67,10 @@ def apply_row_handlers(jobs: DataFrame, handlers: Mapping[str, RowHandler]) -> D
         except Exception as error:  # noqa: BLE001 - any failure of a handler is an outcome, not a crash
             return None, "other", None, None, str(error), 0
 
-    added = ["result", "kind", "code", "typed_retryable", "message", "retry_after_seconds"]
-
     def task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             outcomes = [run(row) for row in frame.to_dict("records")]
-            yield frame.join(pd.DataFrame(outcomes, columns=added, index=frame.index, dtype=object))
+            yield frame.join(pd.DataFrame(outcomes, columns=list(kinds), index=frame.index, dtype=object))
 
     done = jobs.mapInPandas(task, schema)
     failed = F.col("kind").isNotNull()
