@@ -14,20 +14,20 @@ from worktide.sources.outlet import envelope
 NOW = EVENTS_AS_OF
 TTL = 3600
 
-_UNCLAIMED = "published_at IS NULL AND next_publish_at <= {0} AND (claimed_until IS NULL OR claimed_until < {0})".format(EVENTS_NOW)
+UNCLAIMED = "published_at IS NULL AND next_publish_at <= {0} AND (claimed_until IS NULL OR claimed_until < {0})".format(EVENTS_NOW)
 
 
 # --- outbox -------------------------------------------------------------------------------
 
 
-@query("publishable", f"SELECT * FROM v_outbox WHERE {_UNCLAIMED} ORDER BY created_at, event_id LIMIT 100", ("v_outbox",))
+@query("publishable", f"SELECT * FROM v_outbox WHERE {UNCLAIMED} ORDER BY created_at, event_id LIMIT 100", ("v_outbox",))
 def _(v):
     return outbox.publishable(v.outbox, NOW, 100)
 
 
 @query("claim_publishable", f"""
 SELECT event_id, 'relay-a' AS claimed_by, {EVENTS_NOW} + INTERVAL '30' SECOND AS claimed_until FROM v_outbox
-WHERE {_UNCLAIMED} ORDER BY created_at, event_id LIMIT 100""", ("v_outbox",))
+WHERE {UNCLAIMED} ORDER BY created_at, event_id LIMIT 100""", ("v_outbox",))
 def _(v):
     return outbox.claim_publishable(v.outbox, NOW, "relay-a", 100).select("event_id", "claimed_by", "claimed_until")
 
@@ -98,14 +98,17 @@ def _(v):
         "event_id", "tenant_id", "published_at", "next_publish_at", "publish_attempts", "claimed_until")
 
 
-@query("envelope", """
-SELECT CAST(job_id AS VARCHAR) AS key, event_id, concat(
+ENVELOPE_SQL = """
+SELECT CAST(job_id AS VARCHAR) AS key, concat(
   '{"event_id":"', event_id, '","schema_version":1,"tenant_id":"', tenant_id, '","event_type":"', event_type,
   '","source":"', source, '","entity_type":"job","entity_id":"', job_id, '","occurred_at":"',
   strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ'), '","payload":', replace(payload, ': ', ':'), '}') AS value
-FROM v_outbox""", ("v_outbox",))
+FROM v_outbox"""
+
+
+@query("envelope", ENVELOPE_SQL, ("v_outbox",))
 def _(v):
-    return envelope(v.outbox).select("key", "event_id", "value")
+    return envelope(v.outbox).select("key", "value")
 
 
 @query("outbox_backlog", "SELECT tenant_id, count(*) FILTER (WHERE published_at IS NULL) AS backlog FROM v_outbox GROUP BY tenant_id", ("v_outbox",))

@@ -10,6 +10,8 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from worktide.streaming.io import stream_table
+
 JOBS_AS_OF = "1998-06-30 12:00:00"
 EVENTS_AS_OF = "2024-01-20 00:00:00"
 
@@ -132,6 +134,14 @@ class Views:
         self._spark, self._dir = spark, sf_dir.rstrip("/")
         self._built: dict[str, DataFrame] = {}
 
+    def streaming(self, table: str) -> Views:
+        """The same views with one raw table read as a stream."""
+        other = Views(self._spark, self._dir)
+        # A pattern, because the file source wants a folder or a glob and the table may be either.
+        path = f"{self._dir}/{table}.parque[t]"
+        other._built[table] = stream_table(self._spark, path, getattr(self, table).schema)
+        return other
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
