@@ -38,7 +38,7 @@ def _with_target(rows: DataFrame, url: str) -> DataFrame:
         .withColumn("__server", F.regexp_replace("__authority", "^.*@", ""))
         .withColumn("__unreadable", _unreadable(link))
         # No port, no credentials, no brackets.
-        .withColumn("host", F.lower(F.translate(F.regexp_extract("__server", r"^(\[[^\]]*\]|[^:]*)", 1), "[]", "")))
+        .withColumn("host", F.lower(F.btrim(F.regexp_extract("__server", r"^(\[[^\]]*\]|[^:]*)", 1), F.lit("[]"))))
         .withColumn("__bare", F.substring_index("host", "%", 1))
         # The dotted form of an IPv4 address, also of one written inside an IPv6 address.
         .withColumn("__v4", F.when(F.col("__bare").rlike(rf"^{_DOTTED}$"), F.col("__bare"))
@@ -126,21 +126,21 @@ def normal_method(method: Column) -> Column:
 
 def canonical_header(name: Column) -> Column:
     """Header-Case; a name with characters no header may have is left as it is."""
-    cased = F.array_join(
-        F.transform(F.split(name, "-"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 20)))),
-        "-",
-    )
+    cased = F.replace(F.initcap(F.replace(name, F.lit("-"), F.lit(" "))), F.lit(" "), F.lit("-"))
     return F.when(name.rlike(r"^[!#$%&'*+\-.^_`|~0-9A-Za-z]+$"), cased).otherwise(name)
 
 
 def clean_headers(headers: Column) -> Column:
     """A header map in canonical case without the reserved ones. Of names that differ only in case the
     last in sort order wins."""
-    entries = F.array_sort(F.map_entries(headers))
-    cased = F.transform(entries, lambda e: F.struct(canonical_header(e["key"]).alias("key"), e["value"].alias("value")))
-    kept = F.filter(cased, lambda e: ~e["key"].isin(*S.RESERVED_HEADERS))
-    last = F.filter(
-        F.transform(kept, lambda e, i: F.struct(e["key"].alias("key"), e["value"].alias("value"), i.alias("i"))),
-        lambda e: ~F.exists(F.slice(kept, e["i"] + 2, F.size(kept)), lambda later: later["key"] == e["key"]),
-    )
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+    named = F.transform(F.map_entries(headers), lambda e: F.struct(
+        canonical_header(e["key"]).alias("name"), e["key"].alias("key"), e["value"].alias("value")))
+    kept = F.sort_array(F.filter(named, lambda e: ~e["name"].isin(*S.RESERVED_HEADERS)))
+    # Each next to its successor, so that only the last of equal names stays. The outer transform over
+    # a one-element array gives the sorted list a name, so it is computed once.
+    paired = F.transform(F.array(kept), lambda k: F.zip_with(
+        k, F.slice(k, F.lit(2), F.size(k)), lambda e, after: F.struct(
+            e["name"].alias("name"), e["value"].alias("value"),
+            after["name"].eqNullSafe(e["name"]).alias("shadowed"))))[0]
+    last = F.filter(paired, lambda e: ~e["shadowed"])
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["name"].alias("key"), e["value"].alias("value"))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worktide.functions import rules as R
@@ -32,19 +32,21 @@ def allowed_step():
 
 
 def attempt_sequence(attempts: DataFrame) -> DataFrame:
-    """Per job: how many attempts, which numbers are missing or used twice, how many are still open.
+    """Per job: how many attempts, which numbers are missing or used twice, how many are open or succeeded.
 
     Counting per (job, number) first keeps every group small; no window over a job is needed.
     """
     per_number = attempts.groupBy("job_id", "attempt_number").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == S.RUNNING).alias("running")
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == S.RUNNING).alias("running"),
+        F.count_if(F.col("status") == S.SUCCEEDED).alias("won"),
     )
     return per_number.groupBy("job_id").agg(
         F.sum("n").alias("attempts"), F.max("attempt_number").alias("last_number"),
         (F.max("attempt_number") - F.count(F.lit(1))).cast("bigint").alias("missing_numbers"),
         F.count_if(F.col("n") > 1).alias("repeated_numbers"), F.sum("running").alias("open_attempts"),
+        F.sum("won").alias("successes"),
     ).withColumn("in_order", (F.col("missing_numbers") == 0) & (F.col("repeated_numbers") == 0)
-                 & (F.col("open_attempts") <= 1))
+                 & (F.col("open_attempts") <= 1) & (F.col("successes") <= 1))
 
 
 def overlapping_attempts(attempts: DataFrame) -> DataFrame:
@@ -54,34 +56,47 @@ def overlapping_attempts(attempts: DataFrame) -> DataFrame:
     return attempts.join(before, ["job_id", "attempt_number"]).filter(F.col("started_at") < F.col("previous_end"))
 
 
+def _violations(counted: DataFrame, **rules: Column) -> DataFrame:
+    """Several rules over one input, counted in one pass: a row per rule."""
+    totals = counted.agg(*[F.coalesce(F.sum(count), F.lit(0)).cast("bigint").alias(name) for name, count in rules.items()])
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations")) for name in rules
+    ])))
+
+
 def audit(jobs: DataFrame, attempts: DataFrame, outbox: DataFrame,
           submissions: DataFrame | None = None) -> DataFrame:
-    """One row per rule with the number of violations."""
-    running = jobs.filter(F.col("status") == S.RUNNING).select("job_id")
-    open_attempts = attempts.filter(F.col("status") == S.RUNNING).select("job_id")
-    sequence = attempt_sequence(attempts)
-    wins = attempts.filter(F.col("status") == S.SUCCEEDED).groupBy("job_id").agg(F.count(F.lit(1)).alias("n"))
-
-    def rule(name: str, broken: DataFrame) -> DataFrame:
-        return broken.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations")
-
-    rules = [
-        # The two sequence rules share one aggregation.
-        sequence.agg(F.count_if(F.col("repeated_numbers") > 0).alias("a"), F.count_if(F.col("open_attempts") > 1).alias("b"),
-                     F.count_if(F.col("missing_numbers") > 0).alias("c"))
-        .select(F.inline(F.array(
-            F.struct(F.lit("attempt_claimed_twice").alias("rule"), F.col("a").alias("violations")),
-            F.struct(F.lit("several_open_attempts").alias("rule"), F.col("b").alias("violations")),
-            F.struct(F.lit("attempt_number_missing").alias("rule"), F.col("c").alias("violations"))))),
-        rule("running_job_without_attempt", running.join(open_attempts, "job_id", "left_anti")),
-        rule("open_attempt_without_running_job", open_attempts.join(running, "job_id", "left_anti")),
-        rule("several_successes", wins.filter(F.col("n") > 1)),
-        rule("unpublished_event", outbox.filter(F.col("published_at").isNull())),
-        rule("unknown_status", jobs.filter(~R.is_known_status(F.col("status")))),
-        rule("running_job_without_owner", jobs.filter((F.col("status") == S.RUNNING) & F.col("locked_by").isNull())),
-    ]
+    """One row per rule with the number of violations.
+
+    Rules that need the same input share one pass over it.
+    """
+    def one(broken: Column) -> Column:
+        return F.when(broken, 1)
+
+    sequence = _violations(
+        attempt_sequence(attempts),
+        attempt_claimed_twice=one(F.col("repeated_numbers") > 0),
+        attempt_number_missing=one(F.col("missing_numbers") > 0),
+        several_open_attempts=one(F.col("open_attempts") > 1),
+        several_successes=one(F.col("successes") > 1),
+    )
+    running = F.col("status") == S.RUNNING
+    opened = attempts.filter(running).groupBy("job_id").agg(F.count(F.lit(1)).alias("open_attempts"))
+    matched = jobs.filter(running).select("job_id", F.lit(True).alias("is_running")).join(opened, "job_id", "full")
+    pairing = _violations(
+        matched,
+        running_job_without_attempt=one(F.col("open_attempts").isNull()),
+        open_attempt_without_running_job=F.when(F.col("is_running").isNull(), F.col("open_attempts")),
+    )
+    states = _violations(
+        jobs,
+        unknown_status=one(~R.is_known_status(F.col("status"))),
+        running_job_without_owner=one(running & F.col("locked_by").isNull()),
+    )
+    events = _violations(outbox, unpublished_event=one(F.col("published_at").isNull()))
+    parts = [sequence, pairing, states, events]
     if submissions is not None:
         keyed = submissions.filter(F.col("idempotency_key").isNotNull())
-        repeated = keyed.groupBy("tenant_id", "idempotency_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-        rules.append(rule("idempotency_key_reused", repeated))
-    return reduce(DataFrame.unionByName, rules)
+        uses = keyed.groupBy("tenant_id", "idempotency_key").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(_violations(uses, idempotency_key_reused=one(F.col("n") > 1)))
+    return reduce(DataFrame.unionByName, parts)

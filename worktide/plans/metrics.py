@@ -275,12 +275,14 @@ def _(v):
 # --- consistency --------------------------------------------------------------------------
 
 _SEQUENCE = """numbers AS (
-  SELECT job_id, attempt_number, count(*) AS n, count(*) FILTER (WHERE status = 'RUNNING') AS running
+  SELECT job_id, attempt_number, count(*) AS n, count(*) FILTER (WHERE status = 'RUNNING') AS running,
+         count(*) FILTER (WHERE status = 'SUCCEEDED') AS won
   FROM tried GROUP BY job_id, attempt_number),
 sequence AS (
   SELECT job_id, CAST(sum(n) AS BIGINT) AS attempts, max(attempt_number) AS last_number,
          CAST(max(attempt_number) - count(*) AS BIGINT) AS missing_numbers,
-         count(*) FILTER (WHERE n > 1) AS repeated_numbers, CAST(sum(running) AS BIGINT) AS open_attempts
+         count(*) FILTER (WHERE n > 1) AS repeated_numbers, CAST(sum(running) AS BIGINT) AS open_attempts,
+         CAST(sum(won) AS BIGINT) AS successes
   FROM numbers GROUP BY job_id)"""
 _TRIED = """tried AS (
   SELECT job_id, attempt_number, status FROM v_attempts
@@ -293,7 +295,7 @@ def _tried(v):
 
 
 @query("attempt_sequence", """
-SELECT *, missing_numbers = 0 AND repeated_numbers = 0 AND open_attempts <= 1 AS in_order FROM sequence""",
+SELECT *, missing_numbers = 0 AND repeated_numbers = 0 AND open_attempts <= 1 AND successes <= 1 AS in_order FROM sequence""",
        ("v_jobs", "v_attempts", "v_open_attempts"), f"{_TRIED},\n{_SEQUENCE}")
 def _(v):
     return audit.attempt_sequence(_tried(v))
