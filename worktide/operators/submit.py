@@ -29,12 +29,11 @@ def judge_requests(requests: DataFrame, jobs: DataFrame | None, as_of: R.Instant
     judged = R.with_defaults(requests).withColumn("idempotency_key", key).withColumns({
         "error": R.validation_error(),
         "request_hash": R.request_hash(),
-        "job_id": R.derived_id(F.lit("job"), "tenant_id", "seq", now),
         "status": R.initial_status(F.col("run_at"), now),
     })
     first = judged.filter(F.col("error").isNull() & F.col("idempotency_key").isNotNull()).groupBy(
         "tenant_id", "idempotency_key"
-    ).agg(F.min_by(F.struct("request_hash", "job_id", "status", "seq"), "seq").alias("owner"))
+    ).agg(F.min_by(F.struct("request_hash", F.lit(None).cast("string").alias("job_id"), "status", "seq"), "seq").alias("owner"))
     if jobs is not None and "idempotency_key" in jobs.columns:
         stored = jobs.filter(F.col("idempotency_key").isNotNull()).select(
             "tenant_id", "idempotency_key",
@@ -58,9 +57,10 @@ def judge_requests(requests: DataFrame, jobs: DataFrame | None, as_of: R.Instant
         .when(F.col("owner.request_hash") == F.col("request_hash"), REPLAYED)
         .otherwise(CONFLICT)
     )
+    # The id of a job made by this batch follows from the request that made it.
+    made = R.derived_id(F.lit("job"), "tenant_id", F.coalesce("owner.seq", "seq"), now)
     return joined.withColumn("outcome", outcome).withColumns({
-        "job_id": F.when(F.col("outcome") == CREATED, F.col("job_id"))
-        .when(F.col("outcome") == REPLAYED, F.col("owner.job_id")),
+        "job_id": F.when(F.col("outcome").isin(CREATED, REPLAYED), F.coalesce("owner.job_id", made)),
         "status": F.when(F.col("outcome") == CREATED, F.col("status"))
         .when(F.col("outcome") == REPLAYED, F.col("owner.status")),
         "owner_seq": F.col("owner.seq"),

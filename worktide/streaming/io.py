@@ -11,7 +11,7 @@ from worktide.session import scratch_path
 FILES_PER_BATCH = 64
 
 
-def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+def stream_table(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
                  files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """A folder (or a glob) of files as a stream with a fixed schema."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(fmt).load(path)
