@@ -82,6 +82,7 @@ def test_a_key_shared_by_most_requests(spark):
     ('{"name":"a","job_type":"CALL_WEBHOOK","payload":{"url":"x"},"run_at":"2024-05-01T10:00:00Z"}', None),
     ('{"name":"a","run_at":"2024-05-01T12:00:00.5+02:00"}', None), ("{}", None),
     ('{"name":"a","colour":"red"}', "INVALID_JSON"), ('{"name":"a"', "INVALID_JSON"), ("[1]", "INVALID_JSON"),
+    ('{"name":5}', "INVALID_JSON"), ('{"job_type":["a"]}', "INVALID_JSON"), ('{"name":null}', None),
     ('{"priority":"high"}', "INVALID_JSON"), ('{"priority":1.5}', "INVALID_JSON"), ('{"run_at":"2024-05-01"}', "INVALID_JSON"),
     ('{"run_at":"2024-13-01T00:00:00Z"}', "INVALID_JSON"), ("", "INVALID_JSON"), (None, "INVALID_JSON"),
 ])
@@ -161,6 +162,20 @@ def test_headers_and_methods(spark):
         assert spark.range(1).select(web.normal_method(F.lit(given).cast("string")).alias("m")).first().m == wanted
 
 
+def test_webhook_calls(spark):
+    payloads = ['{"url":"https://h.example/","headers":{"x-scheduler-attempt":"7","accept":"a"},"body":{"b":1}}',
+                '{"url":"https://h.example/","method":"patch","headers":{"content-type":"text/plain"}}', "{", None,
+                '{"url":"http://127.0.0.1/internal"}', '{"url":"https://h.example/","method":"trace"}', '{"url":"http://h:x/"}']
+    df = spark.createDataFrame(list(enumerate(payloads)), "job_id int, payload string").withColumn("attempt_number", F.lit(2))
+    got = {r.job_id: r for r in web.webhook_calls(df).collect()}
+    assert {k: r.error_code for k, r in got.items()} == {
+        0: None, 1: None, 2: "INVALID_PAYLOAD", 3: "INVALID_PAYLOAD", 4: "UNSAFE_WEBHOOK_TARGET", 5: "INVALID_METHOD", 6: "INVALID_URL"}
+    assert got[0].headers == {"X-Scheduler-Job-ID": "0", "X-Scheduler-Attempt": "2", "Idempotency-Key": "0", "Accept": "a",
+                              "Content-Type": "application/json"}
+    assert (got[0].method, got[0].body) == ("POST", '{"b":1}') and (got[1].method, got[1].headers["Content-Type"]) == ("PATCH", "text/plain")
+    assert got[4].retryable is False and got[0].retryable is None
+
+
 def test_row_handlers_classify_their_errors(spark):
     def handle(row):
         if row["n"] == 0:

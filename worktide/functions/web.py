@@ -144,3 +144,50 @@ def clean_headers(headers: Column) -> Column:
             after["name"].eqNullSafe(e["name"]).alias("shadowed"))))[0]
     last = F.filter(paired, lambda e: ~e["shadowed"])
     return F.map_from_entries(F.transform(last, lambda e: F.struct(e["name"].alias("key"), e["value"].alias("value"))))
+
+
+_PAYLOAD = "url string, method string, headers map<string,string>, body string, _bad string"
+
+
+def webhook_calls(jobs: DataFrame, allowlist: Sequence[str] | DataFrame = (), allow_private: bool = False) -> DataFrame:
+    """The HTTP call each job's payload describes, or why it cannot be made. Nothing is sent.
+
+    ``jobs`` has job_id, attempt_number and payload. Adds url, method, headers, body, and for refused
+    payloads error_code, message and retryable (always false). The headers that identify the job are set
+    by the system and cannot be overridden.
+    """
+    parsed = jobs.withColumn("__call", F.from_json("payload", _PAYLOAD, {"columnNameOfCorruptRecord": "_bad"}))
+    unreadable = F.coalesce(F.col("__call").isNull() | F.col("__call._bad").isNotNull(), F.lit(True))
+    opened = parsed.select(
+        *jobs.columns, unreadable.alias("__bad_payload"), F.col("__call.url").alias("url"),
+        F.col("__call.method").alias("__method"), F.col("__call.headers").alias("__headers"), F.col("__call.body").alias("body"),
+    )
+    checked = classify_targets(opened, allowlist, allow_private=allow_private).withColumn(
+        "method", normal_method(F.col("__method")))
+    refused = F.col("verdict").isin("INVALID_URL", "UNSAFE_WEBHOOK_TARGET")
+    error = (
+        F.when(F.col("__bad_payload"), "INVALID_PAYLOAD").when(refused, F.col("verdict"))
+        .when(F.col("method").isNull(), "INVALID_METHOD")
+    )
+    message = (
+        F.when(F.col("__bad_payload"), "webhook payload must be valid JSON").when(refused, F.col("reason"))
+        .when(F.col("method").isNull(), "unsupported webhook method")
+    )
+    own = F.create_map(
+        F.lit("X-Scheduler-Job-ID"), F.col("job_id").cast("string"),
+        F.lit("X-Scheduler-Attempt"), F.col("attempt_number").cast("string"),
+        F.lit("Idempotency-Key"), F.col("job_id").cast("string"),
+    )
+    # The content type is a default the payload may replace.
+    given = F.col("__given")
+    typed = F.when(F.map_contains_key(given, "Content-Type"), given).otherwise(
+        F.map_concat(given, F.create_map(F.lit("Content-Type"), F.lit("application/json"))))
+    empty = F.create_map().cast("map<string,string>")
+    usable = ~F.col("__bad_payload")
+    return checked.withColumns({
+        "error_code": error, "message": message, "__given": F.coalesce(clean_headers(F.col("__headers")), empty),
+    }).select(
+        *jobs.columns, "url", "host", F.when(usable, F.col("method")).alias("method"),
+        F.when(usable, F.map_concat(own, typed)).alias("headers"), "body", "error_code", "message",
+        F.when(F.col("error_code").isNotNull(), False).alias("retryable"),
+    )

@@ -163,8 +163,9 @@ def ordered_fold(df: DataFrame, key: str, order: Sequence[str], fold: Fold,
     summaries = sorted_rows.select(*needed).mapInArrow(
         _summarize(fold), f"{_CHUNK} int, first_key string, last_key string, opening string, summary string"
     )
-    # One row per chunk, so one task can walk them and the result is safe to broadcast.
-    carries = summaries.coalesce(1).sortWithinPartitions(_CHUNK).mapInPandas(
+    # One row per chunk, so one task can walk them and the result is safe to broadcast. The exchange
+    # keeps the summaries themselves parallel.
+    carries = summaries.repartition(1).sortWithinPartitions(_CHUNK).mapInPandas(
         _chain(fold), f"{_CHUNK} int, carry_key string, carry_state string"
     )
     started = sorted_rows.join(F.broadcast(carries), _CHUNK)

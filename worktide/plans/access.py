@@ -161,12 +161,14 @@ def _(v):
 
 
 @query("classify_targets_by_table", """
-SELECT page_id, host, CASE WHEN listed THEN 'ALLOWED' ELSE 'UNRESOLVED' END AS verdict FROM (
-  SELECT page_id, host, EXISTS (SELECT 1 FROM split s WHERE s.page_id < 40 AND s.host = p.host) AS listed
-  FROM split p) q""", (), """split AS (
-  SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^:/?#]*)', 1)) AS host FROM pages)""")
+SELECT page_id, host, CASE WHEN EXISTS (SELECT 1 FROM split s WHERE s.scheme = 'https' AND s.host = p.host) THEN 'ALLOWED'
+       ELSE 'UNRESOLVED' END AS verdict
+FROM split p""", (), """split AS (
+  SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme,
+         lower(regexp_extract(url, '^[a-z]+://([^:/?#]*)', 1)) AS host FROM pages)""")
 def _(v):
-    hosts = v.pages.filter(F.col("page_id") < 40).select(
+    """Hosts that serve any page over https are trusted; the list is a table joined by host."""
+    hosts = v.pages.filter(F.col("url").startswith("https:")).select(
         F.regexp_extract("url", "^[a-z]+://([^:/?#]*)", 1).alias("host"))
     return web.classify_targets(v.pages, hosts).select("page_id", "host", "verdict")
 
@@ -211,11 +213,39 @@ def _(v):
 
 
 @query("clip_excerpt", """
-SELECT doc_id, md5(CASE WHEN strlen(text) <= 1000 THEN text ELSE substr(text, 1, 1000) END) AS excerpt_md5 FROM documents
-WHERE strlen(text) = length(text)""")
+SELECT doc_id, least(strlen(text), 1000) - 3 <= strlen(text) AS bounded,
+       CASE WHEN strlen(text) = length(text) THEN md5(substr(text, 1, 1000)) END AS plain_md5
+FROM documents""")
+def _(v):
+    """Byte counts hold for every text; where every character is one byte the excerpt is a plain prefix."""
+    text, excerpt = F.col("text"), R.clip_bytes(F.col("text"), 1000)
+    # A character cut in half becomes a three-byte replacement mark.
+    bounded = F.octet_length(excerpt).between(F.least(F.octet_length(text), F.lit(1000)) - 3, F.lit(1002))
+    return v.documents.select(
+        "doc_id", bounded.alias("bounded"),
+        F.when(F.octet_length(text) == F.length(text), F.md5(excerpt)).alias("plain_md5"))
+
+
+@query("webhook_calls", """
+SELECT o_orderkey AS job_id,
+       CASE WHEN o_orderpriority <> '3-MEDIUM' THEN concat('https://', lower(substr(o_orderpriority, 3, 3)), '.example.com/', o_orderkey) END AS url,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'POST' WHEN '2-HIGH' THEN 'PUT' WHEN '5-LOW' THEN 'GET' END AS method,
+       CASE WHEN o_orderpriority <> '3-MEDIUM' THEN CAST(o_orderkey % 5 + 1 AS VARCHAR) END AS attempt_header,
+       CASE WHEN o_orderpriority <> '3-MEDIUM' THEN CAST(o_orderkey AS VARCHAR) END AS key_header,
+       CASE o_orderpriority WHEN '3-MEDIUM' THEN 'INVALID_PAYLOAD' WHEN '4-NOT SPECIFIED' THEN 'INVALID_METHOD' END AS error_code,
+       CASE WHEN o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN false END AS retryable
+FROM orders""")
 def _(v):
-    ascii_only = v.documents.filter(F.octet_length("text") == F.length("text"))
-    return ascii_only.select("doc_id", F.md5(R.clip_bytes(F.col("text"), 1000)).alias("excerpt_md5"))
+    level, key = F.col("o_orderpriority"), F.col("o_orderkey").cast("string")
+    method = F.when(level == "1-URGENT", "").when(level == "2-HIGH", " put ").when(level == "5-LOW", "get").otherwise("trace")
+    payload = F.when(level == "3-MEDIUM", F.concat(F.lit('{"url":'), key)).otherwise(F.concat(
+        F.lit('{"url":"https://'), F.lower(F.substring(level, 3, 3)), F.lit(".example.com/"), key, F.lit('","method":"'), method,
+        F.lit('","headers":{"idempotency-key":"forged"}}')))
+    jobs = v.orders.select(F.col("o_orderkey").alias("job_id"), payload.alias("payload"),
+                           (F.col("o_orderkey") % 5 + 1).alias("attempt_number"))
+    calls = web.webhook_calls(jobs)
+    return calls.select("job_id", "url", "method", F.col("headers")["X-Scheduler-Attempt"].alias("attempt_header"),
+                        F.col("headers")["Idempotency-Key"].alias("key_header"), "error_code", "retryable")
 
 
 # --- intake, handlers, schema versions ----------------------------------------------------

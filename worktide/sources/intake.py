@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +15,9 @@ from worktide.functions import states as S
 FIELDS = ("name", "job_type", "payload", "run_at", "priority", "max_retries", "retry_backoff_seconds",
           "timeout_seconds")
 
+# Texts are read as variants first, because a number must not pass for a text.
 _SCHEMA = (
-    "name string, job_type string, payload string, run_at string, priority int, max_retries int, "
+    "name variant, job_type variant, payload string, run_at variant, priority int, max_retries int, "
     "retry_backoff_seconds int, timeout_seconds int, _bad string"
 )
 _RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
@@ -28,16 +32,21 @@ def parse_requests(lines: DataFrame, body: str = "body") -> DataFrame:
     text = F.col(body)
     parsed = lines.withColumn("__r", F.from_json(text, _SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     unknown = F.size(F.array_except(F.json_object_keys(text), F.array(*[F.lit(f) for f in FIELDS]))) > 0
-    at = F.col("__r.run_at")
+    texts = {name: F.try_variant_get(F.col(f"__r.{name}"), "$", "string") for name in ("name", "job_type", "run_at")}
+    mistyped = reduce(or_, [
+        ~F.schema_of_variant(F.col(f"__r.{name}")).isin("STRING", "VOID") for name in texts
+    ])
+    at = texts["run_at"]
     unreadable_time = at.isNotNull() & (~at.rlike(_RFC3339) | at.try_cast("timestamp").isNull())
     bad = (
         text.isNull() | (F.octet_length(text) > S.BODY_BYTES) | F.col("__r._bad").isNotNull()
-        | F.json_object_keys(text).isNull() | unknown | unreadable_time
+        | F.json_object_keys(text).isNull() | unknown
+        | F.coalesce(mistyped, F.lit(False)) | unreadable_time
     )
     numbers = ("priority", "max_retries", "retry_backoff_seconds", "timeout_seconds")
     return parsed.withColumn("error", F.when(F.coalesce(bad, F.lit(True)), "INVALID_JSON")).select(
         *lines.columns, "error",
-        F.coalesce("__r.name", F.lit("")).alias("name"), F.coalesce("__r.job_type", F.lit("")).alias("job_type"),
+        *[F.coalesce(texts[name], F.lit("")).alias(name) for name in ("name", "job_type")],
         R.empty_to_null(F.col("__r.payload")).alias("payload"),
         at.try_cast("timestamp").alias("run_at"),
         *[F.coalesce(f"__r.{name}", F.lit(0)).alias(name) for name in numbers],
