@@ -118,9 +118,9 @@ def test_roles(spark, role, required, allowed):
 
 
 def test_key_digest_is_stable_and_hides_the_key(spark):
-    digest = one(spark, R.key_digest(F.lit(" djs_secret ")))
-    assert digest == one(spark, R.key_digest(F.lit("djs_secret"))) and "djs_secret" not in digest
-    assert one(spark, R.key_prefix(F.lit("djs_0123456789abc"))) == "djs_0123456789"
+    digest = one(spark, R.key_digest(F.lit(" sk_secret ")))
+    assert digest == one(spark, R.key_digest(F.lit("sk_secret"))) and "sk_secret" not in digest
+    assert one(spark, R.key_prefix(F.lit("sk_0123456789abcd"))) == "sk_0123456789a"
 
 
 def test_instants_do_not_depend_on_the_local_zone(spark):

@@ -95,10 +95,12 @@ def test_relay_publishes_what_is_unpublished_and_resumes(spark, files, events, t
         return df.withColumns({"tenant_id": F.lit(1), "source": F.lit("worker"), "payload": F.lit("{}"),
                                "published_at": F.when(F.col("event_id") % 3 == 0, F.col("created_at"))})
 
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    out, state, log = str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "log")
     for _ in range(2):  # the second run finds nothing new
-        running = relay.relay_stream(box(stream(spark, files, events)), file_writer(out), state)
+        running = relay.relay_stream(box(stream(spark, files, events)), file_writer(out), state, record=file_writer(log))
         running.awaitTermination()
+    delivered = spark.read.parquet(log)
+    assert delivered.filter("delivered AND relay_id = 'relay'").select("event_id").distinct().count() == 200
     records = spark.read.parquet(out)
     assert records.count() == 200
     ids = {int(r.i) for r in records.select(F.get_json_object("value", "$.event_id").alias("i")).collect()}

@@ -30,8 +30,9 @@ def parse_requests(lines: DataFrame, body: str = "body") -> DataFrame:
     field or an unreadable time; numbers not given come out as 0, and texts as empty or NULL.
     """
     text = F.col(body)
-    parsed = lines.withColumn("__r", F.from_json(text, _SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
-    unknown = F.size(F.array_except(F.json_object_keys(text), F.array(*[F.lit(f) for f in FIELDS]))) > 0
+    # Steps of their own, so that the text is read once for the fields and once for their names.
+    parsed = lines.withColumn("__keys", F.json_object_keys(text)).withColumn("__r", F.from_json(text, _SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    unknown = F.size(F.array_except("__keys", F.array(*[F.lit(f) for f in FIELDS]))) > 0
     texts = {name: F.try_variant_get(F.col(f"__r.{name}"), "$", "string") for name in ("name", "job_type", "run_at")}
     mistyped = reduce(or_, [
         ~F.schema_of_variant(F.col(f"__r.{name}")).isin("STRING", "VOID") for name in texts
@@ -40,7 +41,7 @@ def parse_requests(lines: DataFrame, body: str = "body") -> DataFrame:
     unreadable_time = at.isNotNull() & (~at.rlike(_RFC3339) | at.try_cast("timestamp").isNull())
     bad = (
         text.isNull() | (F.octet_length(text) > S.BODY_BYTES) | F.col("__r._bad").isNotNull()
-        | F.json_object_keys(text).isNull() | unknown
+        | F.col("__keys").isNull() | unknown
         | F.coalesce(mistyped, F.lit(False)) | unreadable_time
     )
     numbers = ("priority", "max_retries", "retry_backoff_seconds", "timeout_seconds")

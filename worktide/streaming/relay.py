@@ -10,18 +10,25 @@ from worktide.functions import rules as R
 from worktide.sources.outlet import Writer, publish
 
 
-def relay_stream(events: DataFrame, writer: Writer, checkpoint: str, as_of: R.Instant | None = None) -> StreamingQuery:
+def relay_stream(events: DataFrame, writer: Writer, checkpoint: str, as_of: R.Instant | None = None,
+                 record: Writer | None = None, relay_id: str = "relay") -> StreamingQuery:
     """Publish a stream of outbox rows, batch by batch, until it has caught up.
 
     Delivery is at least once: a batch that fails after its records were accepted is sent again under
     the same batch id. A sink that replaces by batch id therefore ends up with each record once. With
-    ``as_of`` only rows publishable at that instant are sent, otherwise all unpublished ones.
+    ``as_of`` only rows publishable at that instant are sent, otherwise all unpublished ones. ``record``
+    receives the deliveries of each batch in the form ``apply_publish_results`` takes.
     """
     ready = F.col("published_at").isNull() if as_of is None else R.is_publishable(
         R.instant_like(as_of, events, "created_at"))
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         publish(batch, writer, batch_id)
+        if record is not None:
+            record(batch.select(
+                F.col("event_id").alias("result_id"), "event_id", F.lit(relay_id).alias("relay_id"),
+                F.lit(True).alias("delivered"), F.lit(None).cast("string").alias("error"),
+            ), batch_id)
 
     return events.filter(ready).writeStream.foreachBatch(deliver).option(
         "checkpointLocation", checkpoint
