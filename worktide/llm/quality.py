@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worktide.llm.common import SPACE, free_name, repeat_word_count, split_words, whole
+from worktide.llm.common import SPACE, free_name, repeat_word_count, saved, split_words, whole
 
 #: A line is boilerplate when more documents of its host than both of these hold it.
 MIN_DOCUMENTS = 20
@@ -34,89 +34,90 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.lower(F.regexp_replace(F.trim(line, F.lit(SPACE)), r"[\x20\x09-\x0D]+", " ")))
 
 
-def page_lines(rows: DataFrame, host: Column, text: Column) -> DataFrame:
-    """(host, page, line): the distinct line hashes of each document. The longest line, the greatest of equally long
-    ones, stands for the page; copies of a page fall together here, before anything is shuffled in full."""
-    body = rows.select(host.alias("host"), lines_with_words(text).alias("lines"))
+def document_lines(rows: DataFrame, key: Column, host: Column, text: Column) -> DataFrame:
+    """One row per different document: (key, host, digest, page, hashes, sizes), the last two by line.
+
+    The longest line, the greatest of equally long ones, stands for the page. Checkpointed: the counts and the marks
+    both read it, and it is small beside the texts.
+    """
+    body = rows.select(key.alias("key"), host.alias("host"), F.xxhash64(text).alias("digest"), lines_with_words(text).alias("lines"))
     longest = F.array_max(F.transform("lines", lambda x: F.struct(F.length(x), x)))
-    return body.select("host", F.xxhash64(longest).alias("page"),
-                       F.explode(F.array_distinct(F.transform("lines", line_hash))).alias("line"))
+    return saved(body.select("key", "host", "digest", F.xxhash64(longest).alias("page"),
+                             F.transform("lines", line_hash).alias("hashes"),
+                             F.transform("lines", lambda x: F.size(split_words(x))).alias("sizes"))
+                 .dropDuplicates(["key", "host", "digest"]))
 
 
-def frequent_lines(pages: DataFrame, min_documents: int = MIN_DOCUMENTS, host_share: float = HOST_SHARE) -> DataFrame:
+def frequent_lines(lines: DataFrame, min_documents: int = MIN_DOCUMENTS, host_share: float = HOST_SHARE) -> DataFrame:
     """(host, line) of the lines above the limit. A hot line is combined before each shuffle."""
-    pages = pages.distinct()
+    pages = lines.select("host", "page", F.explode(F.array_distinct("hashes")).alias("line")).distinct()
     counts = pages.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > min_documents)
-    hosts = pages.select("host", "page").distinct().groupBy("host").agg((F.count("*") * host_share).alias("limit"))
+    hosts = (lines.filter(F.size("hashes") > 0).select("host", "page").distinct()
+             .groupBy("host").agg((F.count("*") * host_share).alias("limit")))
     hosts = hosts.select(F.col("host").alias("host_"), "limit")
     return (counts.join(hosts, F.col("host").eqNullSafe(F.col("host_"))).filter(F.col("n") > F.col("limit"))
             .select("host", "line"))
 
 
-def marked_documents(rows: DataFrame, key: Column, host: Column, text: Column, min_documents: int, host_share: float) -> DataFrame:
-    """(key, host, digest, removed): the line hashes to remove, for the documents that have any."""
-    frequent = frequent_lines(page_lines(rows, host, text), min_documents, host_share)
+def marked_documents(lines: DataFrame, min_documents: int, host_share: float) -> DataFrame:
+    """(at, removed_lines, removed_words, removed) for the documents that lose lines; at: (key, host, digest)."""
+    frequent = frequent_lines(lines, min_documents, host_share)
     frequent = frequent.select(F.col("host").alias("host_"), F.col("line").alias("line_"))
-    lines = rows.select(key.alias("key"), host.alias("host"), F.xxhash64(text).alias("digest"),
-                        F.explode(F.array_distinct(F.transform(lines_with_words(text), line_hash))).alias("line"))
-    found = lines.join(frequent, (F.col("line") == F.col("line_")) & F.col("host").eqNullSafe(F.col("host_")))
+    each = lines.select("key", "host", "digest", F.explode(F.arrays_zip("hashes", "sizes")).alias("x"))
+    each = each.select("key", "host", "digest", F.col("x.hashes").alias("line"), F.col("x.sizes").alias("words"))
+    found = each.join(frequent, (F.col("line") == F.col("line_")) & F.col("host").eqNullSafe(F.col("host_")))
     # A set per document: bounded by its own lines.
-    return found.groupBy("key", "host", "digest").agg(F.collect_set("line").alias("removed"))
+    return found.groupBy("key", "host", "digest").agg(
+        F.count("*").alias("removed_lines"), F.sum("words").alias("removed_words"), F.collect_set("line").alias("removed"),
+    ).select(F.struct("key", "host", "digest").alias("at"), "removed_lines", "removed_words", "removed")
+
+
+FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_lines",
+          "removed_words")
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id",
-          min_documents: int = MIN_DOCUMENTS, host_share: float = HOST_SHARE, name: str = "quality") -> tuple[DataFrame, str]:
-    """``docs`` with one more column, a struct, and that column's name.
+def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id", min_documents: int = MIN_DOCUMENTS,
+          host_share: float = HOST_SHARE, name: str = "quality", carry: list[str] | None = None) -> tuple[DataFrame, str]:
+    """The columns ``carry`` of ``docs`` (all when not given) with one more, a struct, and that column's name.
 
-    Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_lines, removed_words,
-    kept, and text (the text without the removed lines; null stays null).
+    Its fields are ``FIELDS`` and, when the text is carried, text: the text without the removed lines (null stays
+    null). Texts that are not carried are not shuffled.
     """
-    name = free_name(docs, name)
-    body, work, marks = whole(docs[text]), free_name(docs, "work_"), free_name(docs, "marks_")
-    lines = lines_with_words(F.col("b"))
-    marked = marked_documents(docs, docs[key], docs[host], body, min_documents, host_share)
-    marked = marked.select(F.struct("key", "host", "digest").alias("at"), F.col("removed").alias(marks))
+    carry = docs.columns if carry is None else carry
+    name, work, marks = free_name(docs, name), free_name(docs, "work_"), free_name(docs, "marks_")
+    body = whole(docs[text])
+    marked = marked_documents(document_lines(docs, docs[key], docs[host], body), min_documents, host_share)
+    marked = marked.select("at", F.struct("removed_lines", "removed_words", *(["removed"] if text in carry else [])).alias(marks))
 
-    rows = docs.select("*", F.struct(body.alias("b")).alias(work))
+    rows = docs.withColumn(work, F.struct(body.alias("b")))
     b = F.col(f"{work}.b")
     rows = rows.withColumn(work, F.struct(b.alias("b"), split_words(b).alias("w"), lines_with_words(b).alias("l")))
     w, ls = F.col(f"{work}.w"), F.col(f"{work}.l")
-    rows = rows.withColumn(work, F.struct(
+    rows = rows.select(*[docs[c] for c in dict.fromkeys([*carry, key, host])], F.struct(
         F.xxhash64(b).alias("digest"),
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         F.regexp_count(b, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
         repeat_word_count(w).alias("n_repeat_words"),
-        F.transform(ls, line_hash).alias("hashes"),
-        F.transform(ls, lambda x: F.size(split_words(x))).alias("sizes"),
-    ))
-    at = F.struct(docs[key], docs[host], F.col(f"{work}.digest"))
+    ).alias(work))
+    at = F.struct(F.col(key).alias("key"), F.col(host).alias("host"), F.col(f"{work}.digest").alias("digest"))
     # No document is marked twice, so repeated rows stay as many as they are.
     rows = rows.join(marked, F.col("at").eqNullSafe(at), "left")
 
-    removed = F.coalesce(marks, F.array().cast("array<long>"))
-    gone = F.transform(F.col(f"{work}.hashes"), lambda h: F.array_contains(removed, h))
-    n_gone = F.when(F.col(marks).isNull(), 0).otherwise(F.size(F.filter(gone, lambda x: x)))
-    words_gone = F.when(F.col(marks).isNull(), 0).otherwise(F.aggregate(
-        F.zip_with(gone, F.col(f"{work}.sizes"), lambda g, n: F.when(g, n).otherwise(0)), F.lit(0), lambda a, x: a + x))
-    failed = ((F.col(f"{work}.n_words") < MIN_WORDS)
-              | (100 * F.col(f"{work}.n_repeat_words") > MOST_REPEATED_PERCENT * F.col(f"{work}.n_words")))
-    left_lines = F.filter(F.split(docs[text], "\n", -1),
-                          lambda x: (F.trim(x, F.lit(SPACE)) == "") | ~F.array_contains(removed, line_hash(x)))
-    fields = [F.col(f"{work}.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    verdict = F.struct(
-        *fields, failed.alias("base_failed"), n_gone.cast("long").alias("removed_lines"),
-        words_gone.cast("long").alias("removed_words"),
-        (~failed & (words_gone <= MOST_REMOVED * F.col(f"{work}.n_words"))).alias("kept"),
-        F.when(F.col(marks).isNull(), docs[text]).otherwise(F.array_join(left_lines, "\n")).alias("text"))
-    return rows.select(*[docs[c] for c in docs.columns], verdict.alias(name)), name
-
-
-def quality_report(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id and the fields of ``judge`` but the text."""
-    rows, name = judge(docs, **options)
-    key = options.get("key", "doc_id")
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-             "removed_lines", "removed_words")
-    return rows.select(F.col(key).alias("doc_id"), *[F.col(f"{name}.{c}").alias(c) for c in names])
+    of = {c: F.col(f"{work}.{c}") for c in FIELDS[:5]}
+    failed = (of["n_words"] < MIN_WORDS) | (100 * of["n_repeat_words"] > MOST_REPEATED_PERCENT * of["n_words"])
+    gone = F.coalesce(F.col(f"{marks}.removed_words"), F.lit(0))
+    of |= {"base_failed": failed, "kept": ~failed & (gone <= MOST_REMOVED * of["n_words"]),
+           "removed_lines": F.coalesce(F.col(f"{marks}.removed_lines"), F.lit(0)), "removed_words": gone}
+    if text in carry:
+        left = F.filter(F.split(F.col(text), "\n", -1), lambda x: (F.trim(x, F.lit(SPACE)) == "")
+                        | ~F.array_contains(F.col(f"{marks}.removed"), line_hash(x)))
+        of["text"] = F.when(F.col(marks).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    return rows.select(*carry, F.struct(*[v.alias(c) for c, v in of.items()]).alias(name)), name
+
+
+def quality_report(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """One row per document: doc_id and ``FIELDS``."""
+    rows, name = judge(docs, key=key, carry=[key], **options)
+    return rows.select(F.col(key).alias("doc_id"), *[F.col(f"{name}.{c}").alias(c) for c in FIELDS])
