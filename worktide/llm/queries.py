@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worktide.llm import quality
+from worktide.llm import quality, secrets
 from worktide.llm.common import table
 from worktide.session import prepare
 
@@ -67,3 +67,9 @@ FROM r"""
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and cross-document line frequency."""
     return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base patterns and the randomness battery."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
