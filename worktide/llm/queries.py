@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worktide.llm import quality, secrets
+from worktide.llm import decontam, licenses, quality, secrets
 from worktide.llm.common import table
 from worktide.session import prepare
 
@@ -73,3 +73,15 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base patterns and the randomness battery."""
     return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and licence templates."""
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontaminate")
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item."""
+    return decontam.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
