@@ -82,3 +82,10 @@ def saved(df: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return scratch_path(spark, name)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: for what is too wide for a checkpoint."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
