@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worktide.llm import chat, decontam, licenses, lm, quality, secrets, simhash, warc
+from worktide.llm import chat, decontam, licenses, lm, mixing, quality, secrets, simhash, warc
 from worktide.llm.common import scratch, table
 from worktide.session import prepare
 
@@ -112,3 +112,9 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-count scores and the mixed model's scores."""
     return lm.score_report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_mixing")
+def mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and the rates that meet the targets."""
+    return mixing.mixing_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
