@@ -69,6 +69,14 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def fence() -> Column:
+    """A value of at least 0 that keeps the optimizer from moving a filter on it below the projection that makes it.
+
+    Without it, a filter would carry the splitting of the text into lambdas and run it for each word.
+    """
+    return F.monotonically_increasing_id()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,7 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worktide.llm.common import ascii_lower, saved, whole
+from worktide.llm.common import ascii_lower, fence, saved, whole
 
 # The base phrases, their labels, and the characters that stand between words.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -130,12 +130,12 @@ def matched_templates(docs: DataFrame, idf: dict[str, float], key: str = "doc_id
     total = {k: max(sum(own.values()), 1e-9) for k, own in weights.items()}
     rows = _terms(docs, key, text)
     indexed = F.array(*[F.lit(w) for w in sorted({w for own in weights.values() for w in own})])
-    rows = rows.withColumn("rare", F.array_intersect(indexed, F.col("words")))
+    rows = rows.select("*", F.array_intersect(indexed, F.col("words")).alias("rare"), fence().alias("fence"))
     # Only a document with enough of a template's words can have them agree.
     possible = F.lit(False)
     for k, own in weights.items():
         possible = possible | (sum((F.when(F.array_contains("rare", w), x).otherwise(0.0) for w, x in own.items()), F.lit(0.0)) >= AGREE * total[k] - 1e-9)
-    rows = rows.filter(possible)
+    rows = rows.filter(possible & (F.col("fence") >= 0))
     found = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("term"))),
                      lambda x: F.array_contains("rare", x["term"]))
     parts = [found]

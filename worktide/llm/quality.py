@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worktide.llm.common import SPACE, free_name, repeat_word_count, saved, split_words, whole
+from worktide.llm.common import SPACE, fence, free_name, repeat_word_count, saved, split_words, whole
 
 #: A line is boilerplate when more documents of its host than both of these hold it.
 MIN_DOCUMENTS = 20
@@ -100,6 +100,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str =
         F.regexp_count(b, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
         repeat_word_count(w).alias("n_repeat_words"),
+        fence().alias("fence"),
     ).alias(work))
     at = F.struct(F.col(key).alias("key"), F.col(host).alias("host"), F.col(f"{work}.digest").alias("digest"))
     # No document is marked twice, so repeated rows stay as many as they are.
@@ -108,7 +109,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str =
     of = {c: F.col(f"{work}.{c}") for c in FIELDS[:5]}
     failed = (of["n_words"] < MIN_WORDS) | (100 * of["n_repeat_words"] > MOST_REPEATED_PERCENT * of["n_words"])
     gone = F.coalesce(F.col(f"{marks}.removed_words"), F.lit(0))
-    of |= {"base_failed": failed, "kept": ~failed & (gone <= MOST_REMOVED * of["n_words"]),
+    of |= {"base_failed": failed, "kept": ~failed & (gone <= MOST_REMOVED * of["n_words"]) & (F.col(f"{work}.fence") >= 0),
            "removed_lines": F.coalesce(F.col(f"{marks}.removed_lines"), F.lit(0)), "removed_words": gone}
     if text in carry:
         left = F.filter(F.split(F.col(text), "\n", -1), lambda x: (F.trim(x, F.lit(SPACE)) == "")
