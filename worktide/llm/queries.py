@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worktide.llm import chat, decontam, licenses, lm, mixing, quality, secrets, simhash, warc
+from worktide.llm import chat, decontam, licenses, lm, mixing, quality, secrets, simhash, suffixes, warc
 from worktide.llm.common import scratch, table
 from worktide.session import prepare
 
@@ -118,3 +118,9 @@ def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain posteriors and the rates that meet the targets."""
     return mixing.mixing_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by repeated 200-byte strings, removed."""
+    return suffixes.dedup_report(table(spark, sf_dir, "documents"))
