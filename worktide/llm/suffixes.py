@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worktide.llm.common import stored
+from worktide.llm.common import saved, stored
 
 LENGTH = 200
 GRAM = 100
@@ -250,7 +250,8 @@ def _spans(items: list[tuple], found: np.ndarray) -> tuple[list, list, list]:
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(row, spans): the byte ranges of each text that are repeated elsewhere; texts without any are left out."""
     found = anchors(rows)
-    twice = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    # Cut off by a checkpoint, so that both sides of the join are plain exchanges and a hot gram can be split.
+    twice = saved(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"))
     spread = F.when(F.col("n") > BUCKET, F.ceil(F.col("n") / BUCKET)).otherwise(1).cast("int")
     places = found.join(twice, "gram").groupBy("row").agg(F.collect_set(F.struct("at", spread.alias("spread"))).alias("places"))
     places = stored(places, "anchors")
