@@ -28,7 +28,10 @@ TARGETS = (0.95, 0.05, 0.0)
 SAMPLE = 2500
 FEATURES = 20_000
 LEAST_DOCUMENTS = 8
-EPOCHS = 12
+#: Shrinkage of the classifier's weights.
+RIDGE = 1e-3
+#: Gradient steps of the classifier, each on 64 documents.
+STEPS = 1500
 #: Pull of the rates towards 1, step, and iterations.
 PULL = 1e-3
 STEP = 0.9
@@ -99,16 +102,17 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
         share = np.bincount(y, minlength=len(DOMAINS)) / len(y)
         slack, slack_bias = np.full_like(weights, 1e-3), 1e-3
         rng = np.random.default_rng(7)
-        for _ in range(EPOCHS):
+        batches = max(1, len(y) // 64)
+        for _ in range(-(-STEPS // batches)):
             order = rng.permutation(len(y))
-            for part in np.array_split(order, max(1, len(y) // 64)):
+            for part in np.array_split(order, batches):
                 mine = np.concatenate([np.arange(offsets[d], offsets[d + 1]) for d in part]) if len(part) else np.empty(0, int)
                 local = np.repeat(np.arange(len(part)), offsets[part + 1] - offsets[part])
                 scores = np.stack([np.bincount(local, weights=weights[at[mine], k], minlength=len(part)) for k in range(len(DOMAINS))], axis=1) + bias
                 p = np.exp(scores - scores.max(axis=1, keepdims=True))
                 slope = (p / p.sum(axis=1, keepdims=True) - target[part]) / len(part)
                 used, inverse = np.unique(at[mine], return_inverse=True)
-                g = np.stack([np.bincount(inverse, weights=slope[local, k], minlength=len(used)) for k in range(len(DOMAINS))], axis=1) + 1e-5 * weights[used]
+                g = np.stack([np.bincount(inverse, weights=slope[local, k], minlength=len(used)) for k in range(len(DOMAINS))], axis=1) + RIDGE * weights[used]
                 slack[used] += g * g
                 weights[used] -= 0.1 * g / np.sqrt(slack[used])
                 gb = slope.sum(axis=0)

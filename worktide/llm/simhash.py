@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def grouped_bits(sample: np.ndarray, parts: int) -> list[int]:
     """Masks of ``parts`` partitions of near equal width; bits that agree in the sample come together."""
+    sample = sample if len(sample) else np.zeros(1, np.uint64)
     bits = ((sample[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(float)
     spread = bits.std(axis=0)
     z = (bits - bits.mean(axis=0)) / np.where(spread > 0, spread, 1)
