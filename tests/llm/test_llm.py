@@ -317,12 +317,22 @@ def test_projected_gradient_meets_a_direct_solution(spark):
     p = rng.dirichlet([0.3, 0.3, 0.3], 200)
     n = rng.integers(1, 500, 200)
     members = spark.createDataFrame([(int(a), *map(float, b)) for a, b in zip(n, p, strict=True)], "tokens long, clean double, poor double, toxic double")
-    history, totals = mixing.fit_rates(members, iterations=60)
-    assert all(abs(a - t) <= 0.02 * max(s, 1) for a, t, s in zip(totals["after"], totals["target"], totals["before"], strict=True))
-    rate = np.ones(200)
-    for residual in history:
-        rate = np.maximum(0, rate - mixing.STEP * (p @ np.array(residual) + mixing.PULL * (rate - 1)))
-    assert np.allclose((n * rate) @ p, totals["after"])
+    history, totals = mixing.fit_rates(members, iterations=200)
+    target, scale = np.array(totals["target"]), np.array(totals["before"])
+
+    def follow(residuals):
+        rate = np.ones(200)
+        for residual in residuals:
+            rate = np.maximum(0, rate - mixing.STEP * (p @ np.array(residual) + mixing.PULL * (rate - 1)))
+        return rate
+
+    found = follow(history)
+    assert np.allclose((n * found) @ p, totals["after"])
+    best = np.ones(200)
+    for _ in range(5000):
+        best = np.maximum(0, best - mixing.STEP * (p @ (((n * best) @ p - target) / scale) + mixing.PULL * (best - 1)))
+    miss = lambda r: float(np.sum(((n * r) @ p - target) ** 2 / scale) / scale.sum())
+    assert miss(found) <= miss(best) + 1e-3 < miss(np.ones(200))
 
 
 def conversations(spark):

@@ -19,7 +19,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worktide.llm.common import ascii_lower, saved, span_words, split_words, whole
+from worktide.llm.common import ascii_lower, free_name, saved, span_words, split_words, whole
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -158,6 +158,7 @@ def leak_report(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: st
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold an item."""
-    found = per_document(leaks(docs, items, key, text, **options)).select("at")
+    name = free_name(docs, "at_")
+    found = per_document(leaks(docs, items, key, text, **options)).select(F.col("at").alias(name))
     at = F.struct(docs[key].alias("doc_id"), F.xxhash64(whole(docs[text])).alias("digest"))
-    return docs.join(found, F.col("at").eqNullSafe(at), "left_anti")
+    return docs.join(found, F.col(name).eqNullSafe(at), "left_anti")

@@ -83,8 +83,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     if picked is None:
         return Softmax(np.empty(0, np.int64), np.zeros((0, len(DOMAINS))), np.log(prior))
     # At most SAMPLE narrow rows a class: small by that bound.
-    rows = docs.join(F.broadcast(picked), docs[key] == F.col("key")).dropDuplicates(["key"])
-    sample = rows.select("domain", features(whole(docs[text])).alias("f")).toArrow()
+    rows = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(picked), F.col("id") == F.col("key")).dropDuplicates(["key"])
+    sample = rows.select("domain", features(whole("text")).alias("f")).toArrow()
     y = sample.column("domain").to_numpy().astype(int)
     lists = sample.column("f").combine_chunks()
     values, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
@@ -190,8 +190,8 @@ def mixed(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     model = fit_classifier(docs, labels, key, text)
     carry = docs.columns if carry is None else carry
     rows, name = posteriors(docs, model, text)
-    rows = stored(rows.select(*carry, F.col(name).alias(free_name(docs, "mix"))), "mix")
-    mix = rows.columns[-1]
+    mix = free_name(docs, "mix")
+    rows = stored(rows.select(*carry, F.col(name).alias(mix)), "mix")
     history, _ = fit_rates(rows.select(f"{mix}.*"), targets)
     p = [F.col(f"{mix}.{d}") for d in DOMAINS]
     likely = F.greatest(*p)

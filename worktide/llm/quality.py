@@ -84,10 +84,10 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str =
     null). Texts that are not carried are not shuffled.
     """
     carry = docs.columns if carry is None else carry
-    name, work, marks = free_name(docs, name), free_name(docs, "work_"), free_name(docs, "marks_")
+    name, work, marks, at_ = (free_name(docs, x) for x in (name, "work_", "marks_", "at_"))
     body = whole(docs[text])
     marked = marked_documents(document_lines(docs, docs[key], docs[host], body), min_documents, host_share)
-    marked = marked.select("at", F.struct("removed_lines", "removed_words", *(["removed"] if text in carry else [])).alias(marks))
+    marked = marked.select(F.col("at").alias(at_), F.struct("removed_lines", "removed_words", *(["removed"] if text in carry else [])).alias(marks))
 
     rows = docs.withColumn(work, F.struct(body.alias("b")))
     b = F.col(f"{work}.b")
@@ -104,7 +104,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str =
     ).alias(work))
     at = F.struct(F.col(key).alias("key"), F.col(host).alias("host"), F.col(f"{work}.digest").alias("digest"))
     # No document is marked twice, so repeated rows stay as many as they are.
-    rows = rows.join(marked, F.col("at").eqNullSafe(at), "left")
+    rows = rows.join(marked, F.col(at_).eqNullSafe(at), "left")
 
     of = {c: F.col(f"{work}.{c}") for c in FIELDS[:5]}
     failed = (of["n_words"] < MIN_WORDS) | (100 * of["n_repeat_words"] > MOST_REPEATED_PERCENT * of["n_words"])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worktide.llm.common import saved
+from worktide.llm.common import free_name, saved
 from worktide.llm.components import connected_components
 
 SHINGLE = 4
@@ -263,6 +263,7 @@ def simhash_report(docs: DataFrame, key: str = "doc_id", text: str = "text", rad
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """One document of each component, that of the smallest id; of repeated rows one; rows without an id stay."""
-    first = near_duplicates(docs, key, text, radius).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("first_")).distinct()
-    kept = docs.join(first, docs[key] == F.col("first_"), "left_semi").dropDuplicates([key])
+    name = free_name(docs, "first_")
+    first = near_duplicates(docs, key, text, radius).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(first, docs[key] == F.col(name), "left_semi").dropDuplicates([key])
     return kept.unionByName(docs.filter(docs[key].isNull()))
