@@ -126,3 +126,17 @@ def test_key_digest_is_stable_and_hides_the_key(spark):
 def test_instants_do_not_depend_on_the_local_zone(spark):
     aware = datetime.datetime(2024, 5, 1, 12, tzinfo=datetime.timezone(datetime.timedelta(hours=2)))
     assert one(spark, R.instant(aware)) == one(spark, R.instant(NOW)) == at(0)
+
+
+def test_no_response_is_a_network_error(spark):
+    from worktide.functions import rules
+
+    row = spark.range(1).select(rules.http_outcome(F.lit(None).cast("int"), F.lit(None).cast("string")).alias("o")).first()["o"]
+    assert (row["succeeded"], row["error_code"], row["retryable"], row["retry_after_seconds"]) == (False, "WEBHOOK_NETWORK_ERROR", True, 0)
+
+
+def test_white_space_of_every_kind_is_trimmed(spark):
+    from worktide.functions import rules
+
+    row = spark.range(1).select(rules.trimmed(F.lit("\t\n k\u00a0\u3000")).alias("t"), rules.retry_after_seconds(F.lit("\t120")).alias("s")).first()
+    assert (row["t"], row["s"]) == ("k", 120)

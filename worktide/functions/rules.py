@@ -93,8 +93,18 @@ def with_defaults(df: DataFrame) -> DataFrame:
     )
 
 
+# The characters of Unicode white space.
+_WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+          "\u2028\u2029\u202f\u205f\u3000")
+
+
+def trimmed(text: Column) -> Column:
+    """The text without white space of any kind at its ends."""
+    return F.trim(text, F.lit(_WHITE))
+
+
 def is_json_document(payload: Column) -> Column:
-    return F.coalesce(F.try_parse_json(payload).isNotNull() & (F.trim(payload) != "null"), F.lit(False))
+    return F.coalesce(F.try_parse_json(payload).isNotNull() & (payload != "null"), F.lit(False))
 
 
 def is_supported_type(job_type: Column) -> Column:
@@ -107,9 +117,9 @@ def is_known_status(status: Column) -> Column:
 
 def validation_error() -> Column:
     """The message of the first broken rule of a create request, NULL when it is valid."""
-    blank = F.coalesce(F.trim(F.col("name")), F.lit("")) == ""
+    blank = F.coalesce(trimmed(F.col("name")), F.lit("")) == ""
     return (
-        F.when(F.octet_length(F.trim(F.col("idempotency_key"))) > S.KEY_BYTES,
+        F.when(F.octet_length(trimmed(F.col("idempotency_key"))) > S.KEY_BYTES,
                "Idempotency-Key exceeds 255 characters")
         .when(blank, "name is required")
         .when(~is_supported_type(F.col("job_type")), "unsupported job type")
@@ -239,20 +249,24 @@ def http_retryable(status: Column) -> Column:
 
 def retry_after_seconds(header: Column) -> Column:
     """A Retry-After header in whole seconds: unreadable or negative counts as 0, capped at 15 minutes."""
-    text = F.trim(header)
+    text = trimmed(header)
     number = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
     # All digits but too long for a number is unreadable, like any other bad header.
     return F.least(F.lit(S.RETRY_AFTER_CEILING_SECONDS), F.greatest(F.lit(0), F.coalesce(number, F.lit(0)))).cast("int")
 
 
 def http_outcome(status: Column, retry_after: Column) -> Column:
-    """struct(succeeded, error_code, retryable, message, retry_after_seconds) of a webhook response."""
-    ok = http_succeeded(status)
+    """struct(succeeded, error_code, retryable, message, retry_after_seconds) of a webhook response.
+
+    No status means that no response came: a network error, which may be retried.
+    """
+    ok, silent = F.coalesce(http_succeeded(status), F.lit(False)), status.isNull()
     return F.struct(
         ok.alias("succeeded"),
-        F.when(~ok, "WEBHOOK_HTTP_ERROR").alias("error_code"),
-        F.when(~ok, http_retryable(status)).alias("retryable"),
-        F.when(~ok, F.concat(F.lit("webhook returned HTTP "), status.cast("string"))).alias("message"),
+        F.when(silent, "WEBHOOK_NETWORK_ERROR").when(~ok, "WEBHOOK_HTTP_ERROR").alias("error_code"),
+        F.when(silent, True).when(~ok, http_retryable(status)).alias("retryable"),
+        F.when(silent, "webhook gave no response")
+        .when(~ok, F.concat(F.lit("webhook returned HTTP "), status.cast("string"))).alias("message"),
         F.when(ok, 0).otherwise(retry_after_seconds(retry_after)).alias("retry_after_seconds"),
     )
 
@@ -276,11 +290,11 @@ def empty_to_null(text: Column) -> Column:
 
 
 def key_digest(key: Column) -> Column:
-    return F.sha2(F.trim(key), 256)
+    return F.sha2(trimmed(key), 256)
 
 
 def key_prefix(key: Column) -> Column:
-    return F.substring(F.trim(key), 1, S.KEY_PREFIX_CHARS)
+    return F.substring(trimmed(key), 1, S.KEY_PREFIX_CHARS)
 
 
 def role_rank(role: Column) -> Column:

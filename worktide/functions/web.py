@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worktide.functions import states as S
+from worktide.functions.rules import trimmed
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _DOTTED = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
@@ -93,7 +94,7 @@ def classify_targets(rows: DataFrame, allowlist: Sequence[str] | DataFrame = (),
     """
     parsed = _with_target(rows, url)
     if isinstance(allowlist, DataFrame):
-        listed = allowlist.select(F.lower(F.trim("host")).alias("host")).distinct().withColumn("__listed", F.lit(True))
+        listed = allowlist.select(F.lower(trimmed(F.col("host"))).alias("host")).distinct().withColumn("__listed", F.lit(True))
         parsed = parsed.join(listed, "host", "left")
     else:
         names = sorted({name.strip().lower() for name in allowlist})
@@ -119,7 +120,7 @@ def classify_targets(rows: DataFrame, allowlist: Sequence[str] | DataFrame = (),
 
 def normal_method(method: Column) -> Column:
     """The request method in upper case, POST when empty, NULL when it is not allowed."""
-    cleaned = F.upper(F.trim(F.coalesce(method, F.lit(""))))
+    cleaned = F.upper(trimmed(F.coalesce(method, F.lit(""))))
     chosen = F.when(cleaned == "", "POST").otherwise(cleaned)
     return F.when(chosen.isin(*S.HTTP_METHODS), chosen)
 

@@ -102,6 +102,8 @@ def finish(jobs: DataFrame, attempts: DataFrame, outcomes: DataFrame, as_of: R.I
     has an open attempt; the first such report per job wins. ``guard=False`` overrides by job id alone.
     """
     now = R.instant_like(as_of, jobs, "run_at")
+    # An outcome that does not say it succeeded has failed.
+    outcomes = outcomes.withColumn("succeeded", F.coalesce("succeeded", F.lit(False)))
     if guard:
         owned = jobs.filter((F.col("status") == S.RUNNING) & F.col("locked_by").isNotNull())
         applied, _ = guarded_join(

@@ -93,7 +93,8 @@ def rate_limit(requests: DataFrame, capacity: int = S.RATE_PER_MINUTE, period_se
 
     Adds ``allowed`` and ``units_left`` (tokens times the period in microseconds). Buckets start full.
     """
-    capacity = capacity if capacity >= 1 else S.RATE_PER_MINUTE
+    if capacity < 1:
+        raise ValueError("capacity must be at least 1")
     timed = requests.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
     folded = ordered_fold(timed, client, ["__us", request_id],
                           BucketFold(capacity, period_seconds * 1_000_000), chunks)

@@ -12,8 +12,10 @@ from worktide.operators.changes import ChangeSet, guarded_join, revise
 
 def publishable(outbox: DataFrame, as_of: R.Instant, n: int = 50) -> DataFrame:
     """The next ``n`` events to publish, oldest first."""
+    if n < 1:
+        raise ValueError("n must be at least 1")
     now = R.instant_like(as_of, outbox, "created_at")
-    return outbox.filter(R.is_publishable(now)).orderBy("created_at", "event_id").limit(n if n >= 1 else 50)
+    return outbox.filter(R.is_publishable(now)).orderBy("created_at", "event_id").limit(n)
 
 
 def claim_publishable(outbox: DataFrame, as_of: R.Instant, relay_id: str, n: int = 50,

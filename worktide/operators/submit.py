@@ -25,7 +25,7 @@ def judge_requests(requests: DataFrame, jobs: DataFrame | None, as_of: R.Instant
     shuffle; joining it back is an ordinary equi-join whose hot partition AQE can split.
     """
     now = R.instant_like(as_of, requests, "run_at")
-    key = R.empty_to_null(F.trim(F.col("idempotency_key")))
+    key = R.empty_to_null(R.trimmed(F.col("idempotency_key")))
     judged = R.with_defaults(requests).withColumn("idempotency_key", key).withColumns({
         "error": R.validation_error(),
         "request_hash": R.request_hash(),
