@@ -170,7 +170,7 @@ def test_webhook_calls(spark):
     got = {r.job_id: r for r in web.webhook_calls(df).collect()}
     assert {k: r.error_code for k, r in got.items()} == {
         0: None, 1: None, 2: "INVALID_PAYLOAD", 3: "INVALID_PAYLOAD", 4: "UNSAFE_WEBHOOK_TARGET", 5: "INVALID_METHOD", 6: "INVALID_URL"}
-    assert got[0].headers == {"X-Scheduler-Job-ID": "0", "X-Scheduler-Attempt": "2", "Idempotency-Key": "0", "Accept": "a",
+    assert got[0].headers == {"X-Scheduler-Job-Id": "0", "X-Scheduler-Attempt": "2", "Idempotency-Key": "0", "Accept": "a",
                               "Content-Type": "application/json"}
     assert (got[0].method, got[0].body) == ("POST", '{"b":1}') and (got[1].method, got[1].headers["Content-Type"]) == ("PATCH", "text/plain")
     assert got[4].retryable is False and got[0].retryable is None

@@ -13,7 +13,8 @@ from worktide.operators.audit import transition_audit
 from worktide.operators.commands import apply_commands, judge_commands, judge_single_commands
 from worktide.operators.leases import lease_expiries, worker_sessions
 from worktide.operators.limits import BucketFold, rate_limit
-from worktide.operators.ordered import Previous, ordered_fold
+from worktide.operators.audit import overlapping_attempts
+from worktide.operators.ordered import with_earlier
 
 
 @settings(max_examples=300, deadline=None)
@@ -75,16 +76,33 @@ def test_one_per_minute(spark):
 def test_previous_value_across_chunks(spark):
     data = [(k, i, f"v{i}") for i, k in enumerate(_hot(300, 20, 2))]
     df = spark.createDataFrame(data, "k string, i int, v string")
-    got = {r.i: r.before for r in ordered_fold(df, "k", ["i"], Previous("v", "before"), chunks=12).collect()}
+    got = {r.i: r.before for r in with_earlier(df, "k", ["i"], F.col("v"), "before", chunks=12).collect()}
     last, expected = {}, {}
     for k, i, v in data:
         expected[i], last[k] = last.get(k), v
     assert got == expected
 
 
+def test_largest_earlier_value_across_chunks(spark):
+    data = [(k, i, i * 7919 % 1000) for i, k in enumerate(_hot(300, 20, 2))]
+    df = spark.createDataFrame(data, "k string, i int, v int")
+    got = {r.i: r.before for r in with_earlier(df, "k", ["i"], F.col("v"), "before", largest=True, chunks=12).collect()}
+    most, expected = {}, {}
+    for k, i, v in data:
+        expected[i], most[k] = most.get(k), max(v, most.get(k, v))
+    assert got == expected
+
+
+def test_overlaps_with_equal_and_missing_numbers(spark):
+    data = [("a1", "j", 1, 0, 10_000), ("a2", "j", 1, 5, 100), ("a3", "j", 4, 6, 100), ("a4", "j", 5, 11, 100), ("b1", "k", 1, 5, 100)]
+    df = spark.createDataFrame(data, "attempt_id string, job_id string, attempt_number int, s bigint, duration_ms bigint").withColumn(
+        "started_at", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    assert {r.attempt_id for r in overlapping_attempts(df).collect()} == {"a2", "a3"}
+
+
 def test_null_keys_form_a_group(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), ("x", 3, "c")], "k string, i int, v string")
-    got = {r.i: r.before for r in ordered_fold(df, "k", ["i"], Previous("v", "before")).collect()}
+    got = {r.i: r.before for r in with_earlier(df, "k", ["i"], F.col("v"), "before").collect()}
     assert got == {1: None, 2: "a", 3: None}
 
 

@@ -40,31 +40,66 @@ def stream(spark, files, events):
     return stream_table(spark, files, events.schema, files_per_batch=1)
 
 
+@pytest.fixture(scope="module")
+def shuffled(spark, files, tmp_path_factory):
+    """The same events in six files, in no order of time."""
+    path = str(tmp_path_factory.mktemp("shuffled") / "table")
+    rows = spark.read.parquet(files)
+    for part in range(6):
+        rows.filter(F.col("event_id") * 7919 % 6 == part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def as_set(df):
     names = sorted(df.columns)
     return sorted(tuple(str(r[n]) for n in names) for r in df.collect())
 
 
-def test_lifecycle(spark, files, events):
-    assert as_set(drain(stateful.lifecycle_stream(stream(spark, files, events)))) == as_set(transition_audit(events))
+#: Longer than the whole span of the events; a last file with one row long after it lets all of them out.
+LONG, AFTER = "20000 seconds", 10_000_000
+
+
+def in_any_order(spark, path, events, run, batch):
+    """``run`` over the shuffled files, 1, 3 and 64 a batch, gives the rows of ``batch``."""
+    expected = as_set(batch)
+    for per_batch in (1, 3, 64):
+        streamed = drain(run(stream_table(spark, path, events.schema, files_per_batch=per_batch)))
+        assert as_set(streamed.filter("key <> 'after'").withColumnRenamed("key", dict_key(batch))) == expected, per_batch
+
+
+def dict_key(df):
+    return next(c for c in ("job_id", "client_id") if c in df.columns)
+
+
+@pytest.fixture(scope="module")
+def ended(spark, shuffled):
+    import time
+
+    time.sleep(1.1)    # files are read by age
+    spark.createDataFrame([(1000, "after", KINDS[0], AFTER)], "event_id int, job_id string, event_type string, s bigint").withColumn(
+        "created_at", F.timestamp_seconds("s")).coalesce(1).write.mode("append").parquet(shuffled)
+    return shuffled
+
+
+def test_lifecycle(spark, ended, events):
+    in_any_order(spark, ended, events, lambda df: stateful.lifecycle_stream(df, LONG).withColumnRenamed("job_id", "key"), transition_audit(events))
 
 
-def test_rate_limit(spark, files, events):
+def test_rate_limit(spark, ended, events):
     def shaped(df):
         return df.select(F.col("job_id").alias("client_id"), F.col("event_id").alias("request_id"), F.col("created_at").alias("ts"))
 
-    streamed = drain(stateful.rate_limit_stream(shaped(stream(spark, files, events)), 2, 60))
-    assert as_set(streamed) == as_set(rate_limit(shaped(events), 2, 60).drop("ts"))
+    in_any_order(spark, ended, events, lambda df: stateful.rate_limit_stream(shaped(df), LONG, 2, 60).withColumnRenamed("client_id", "key"),
+                 rate_limit(shaped(events), 2, 60).drop("ts"))
 
 
-def test_lease_expiry(spark, files, events):
+def test_lease_expiry(spark, ended, events):
     def signals(df):
         return df.select("job_id", F.col("created_at").alias("ts"), F.col("event_id").alias("signal_id"),
                          F.col("event_type").isin("job.started", "job.retry_scheduled").alias("alive"))
 
-    streamed = drain(stateful.expiry_stream(signals(stream(spark, files, events)), 60, "0 seconds"))
-    last = events.agg(F.max("created_at").cast("timestamp_ntz").cast("string")).first()[0]
-    assert as_set(streamed) == as_set(leases.lease_expiries(signals(events), 60, last))
+    in_any_order(spark, ended, events, lambda df: stateful.expiry_stream(signals(df), 60, LONG).withColumnRenamed("job_id", "key"),
+                 leases.lease_expiries(signals(events), 60, "2000-01-01"))
 
 
 def test_sessions(spark, files, events):

@@ -308,6 +308,10 @@ def role_allows(role: Column, required: Column) -> Column:
 
 
 def derived_id(*parts: Column | str) -> Column:
-    """An id that is the same on every retry of a task and in every part of one change set."""
-    texts = [F.coalesce(_col(part).cast("string"), F.lit("")) for part in parts]
+    """An id that is the same on every retry of a task and in every part of one change set.
+
+    Separators within the parts are escaped, so that different parts never meet in one text.
+    """
+    texts = [F.replace(F.replace(F.coalesce(_col(part).cast("string"), F.lit("")), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+             for part in parts]
     return F.sha2(F.concat_ws("|", *texts), 256)

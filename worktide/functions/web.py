@@ -175,7 +175,7 @@ def webhook_calls(jobs: DataFrame, allowlist: Sequence[str] | DataFrame = (), al
         .when(F.col("method").isNull(), "unsupported webhook method")
     )
     own = F.create_map(
-        F.lit("X-Scheduler-Job-ID"), F.col("job_id").cast("string"),
+        F.lit("X-Scheduler-Job-Id"), F.col("job_id").cast("string"),
         F.lit("X-Scheduler-Attempt"), F.col("attempt_number").cast("string"),
         F.lit("Idempotency-Key"), F.col("job_id").cast("string"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from worktide.functions import rules as R
 from worktide.functions import states as S
-from worktide.operators.ordered import Previous, ordered_fold
+from worktide.operators.ordered import with_earlier
 
 
 def transition_audit(events: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def transition_audit(events: DataFrame) -> DataFrame:
     known = events.select("job_id", "event_id", "created_at", "event_type").withColumn(
         "status", R.event_status(F.col("event_type"))
     ).filter(F.col("status").isNotNull())
-    previous = ordered_fold(known, "job_id", ["created_at", "event_id"], Previous("status", "previous_status"))
+    previous = with_earlier(known, "job_id", ["created_at", "event_id"], F.col("status"), "previous_status")
     return previous.withColumn("allowed", allowed_step())
 
 
@@ -50,10 +50,14 @@ def attempt_sequence(attempts: DataFrame) -> DataFrame:
 
 
 def overlapping_attempts(attempts: DataFrame) -> DataFrame:
-    """Attempts that began before the previous one of the same job had ended."""
-    ended = F.timestamp_add("MILLISECOND", F.col("duration_ms"), F.col("started_at"))
-    before = attempts.select("job_id", (F.col("attempt_number") + 1).alias("attempt_number"), ended.alias("previous_end"))
-    return attempts.join(before, ["job_id", "attempt_number"]).filter(F.col("started_at") < F.col("previous_end"))
+    """Attempts that began before every earlier one of the same job had ended, whatever their numbers.
+
+    Earlier is by (started_at, attempt_id). ``previous_end`` is the latest end among the earlier ones; an attempt
+    without a duration counts as ended where it began.
+    """
+    ended = F.timestamp_add("MILLISECOND", F.coalesce(F.col("duration_ms"), F.lit(0)), F.col("started_at"))
+    placed = with_earlier(attempts, "job_id", ["started_at", "attempt_id"], ended, "previous_end", largest=True)
+    return placed.filter(F.col("started_at") < F.col("previous_end"))
 
 
 def _violations(counted: DataFrame, **rules: Column) -> DataFrame:

@@ -280,7 +280,7 @@ def recover_expired(jobs: DataFrame, attempts: DataFrame, as_of: R.Instant, reas
 
 
 def extend_leases(jobs: DataFrame, renewals: DataFrame, ttl_seconds: int) -> ChangeSet:
-    """Push the lease end to the last renewal plus the TTL; only the owner of a RUNNING job may.
+    """Push the lease end to the last renewal plus the TTL, never back; only the owner of a RUNNING job may.
 
     ``renewals`` has renewal_id, job_id, worker_id, ts.
     """
@@ -296,8 +296,8 @@ def extend_leases(jobs: DataFrame, renewals: DataFrame, ttl_seconds: int) -> Cha
     ).withColumn("reason", F.lit("CONFLICT"))
     return ChangeSet(
         decisions,
-        {"jobs": lambda d: revise(d, "job", locked_until=R.add_seconds(F.col("ts"), ttl_seconds),
-                                  updated_at=F.col("ts"))},
+        {"jobs": lambda d: revise(d, "job", locked_until=F.greatest("job.locked_until", R.add_seconds(F.col("ts"), ttl_seconds)),
+                                  updated_at=F.greatest("job.updated_at", "ts") if "updated_at" in jobs.columns else F.col("ts"))},
         rejects,
     )
 

@@ -4,37 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from worktide.functions import rules as R
-from worktide.operators.ordered import Fold, ordered_fold
-
-
-class LeaseFold(Fold):
-    """State: when the lease ends (microseconds), or None. Output: the end of a lease the row came too late for."""
-
-    inputs = ("__us", "alive")
-    outputs = (T.StructField("lost_us", T.LongType()),)
-
-    def __init__(self, ttl_seconds: int):
-        self.ttl = ttl_seconds * 1_000_000
-
-    def start(self, row):
-        return None
-
-    def step(self, state, row):
-        lost = state if state is not None and state < row[0] else None
-        return (row[0] + self.ttl if row[1] else None), (lost,)
-
-    # The end state depends on the last row alone.
-    def unknown(self):
-        return None
-
-    def extend(self, summary, row):
-        return [self.step(None, row)[0]]
-
-    def resolve(self, summary, state):
-        return summary[0] if summary else state
+from worktide.operators.ordered import with_earlier
 
 
 def lease_expiries(signals: DataFrame, ttl_seconds: int, until: R.Instant | None = None,
@@ -45,9 +17,10 @@ def lease_expiries(signals: DataFrame, ttl_seconds: int, until: R.Instant | None
     when they ended before ``until``.
     """
     timed = signals.withColumn("__us", F.unix_micros(F.col("ts").cast("timestamp")))
-    seen = ordered_fold(timed, "job_id", ["__us", signal_id], LeaseFold(ttl_seconds))
+    ends = F.when(F.col("alive"), F.col("__us") + ttl_seconds * 1_000_000)
+    seen = with_earlier(timed, "job_id", ["__us", signal_id], ends, "__until")
     kind = signals.schema["ts"].dataType
-    gaps = seen.filter(F.col("lost_us").isNotNull()).select("job_id", F.col("lost_us").alias("us"))
+    gaps = seen.filter(F.col("__until") < F.col("__us")).select("job_id", F.col("__until").alias("us"))
     if until is not None:
         last = timed.groupBy("job_id").agg(
             F.max("__us").alias("__us"), F.max_by("alive", F.struct("__us", signal_id)).alias("alive"))

@@ -35,7 +35,7 @@ class BucketFold(Fold):
         return [self.full, row[0]]
 
     def step(self, state, row):
-        level = min(self.full, state[0] + (row[0] - state[1]) * self.capacity)
+        level = min(self.full, state[0] + max(0, row[0] - state[1]) * self.capacity)
         allowed = level >= self.cost
         if allowed:
             level -= self.cost

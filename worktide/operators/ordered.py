@@ -1,6 +1,6 @@
 """Ordered folds that survive hot keys.
 
-A fold over the rows of a key in order (token bucket, command sequence, previous status) is
+A fold over the rows of a key in order (token bucket, command sequence) is
 sequential, yet a single key may hold a large part of all rows. So the rows are range-partitioned on
 (key, order) - which cuts a hot key into many chunks - and every chunk is summarized as a function
 from the state it starts in to the state it ends in. Composing those functions along the chunks is
@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -66,7 +66,7 @@ class FiniteFold(Fold):
         return summary.get(state, state)
 
 
-_CHUNK, _KEY = "__chunk", "__key"
+_CHUNK, _KEY, _VALUE, _INSIDE = "__chunk", "__key", "__value", "__inside"
 
 
 def _rows(batch: pa.RecordBatch, names: Sequence[str]) -> Iterator[tuple]:
@@ -173,24 +173,29 @@ def ordered_fold(df: DataFrame, key: str, order: Sequence[str], fold: Fold,
     return started.mapInArrow(_replay(fold, df.columns), schema)
 
 
-class Previous(Fold):
-    """The value a column had on the key's previous row."""
-
-    def __init__(self, column: str, name: str):
-        self.inputs = (column,)
-        self.outputs = (T.StructField(name, T.StringType()),)
-
-    def start(self, row):
-        return None
-
-    def step(self, state, row):
-        return row[0], (state,)
-
-    def unknown(self):
-        return []
-
-    def extend(self, summary, row):
-        return [row[0]]
+def with_earlier(df: DataFrame, key: str, order: Sequence[str], value: Column, name: str, largest: bool = False,
+                 chunks: int | None = None) -> DataFrame:
+    """Append ``value`` as it was on the key's previous row in ``order``, or the largest it was on any earlier row.
 
-    def resolve(self, summary, state):
-        return summary[0] if summary else state
+    NULL on a key's first row. Windows see one chunk of a key at a time; what a chunk hands on to the next is one row
+    per key and chunk. ``order`` must end in something unique per key; rows whose key is NULL form one group.
+    """
+    checkpoint_dir(df.sparkSession)
+    columns = [key, *order]
+    keyed = df.withColumns({_KEY: F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")), _VALUE: F.struct(value.alias("v"))})
+    ranged = keyed.repartitionByRange(chunks, *columns) if chunks else keyed.repartitionByRange(*columns)
+    rows = ranged.withColumn(_CHUNK, F.spark_partition_id()).checkpoint()
+
+    def earlier(column: str, window):
+        if largest:
+            return F.max(column).over(window.rowsBetween(Window.unboundedPreceding, -1))
+        return F.lag(column).over(window)
+
+    handed = F.max(_VALUE) if largest else F.max_by(_VALUE, F.struct(*order))
+    carries = rows.groupBy(_CHUNK, _KEY).agg(handed.alias("handed")).select(
+        _CHUNK, _KEY, earlier("handed", Window.partitionBy(_KEY).orderBy(_CHUNK)).alias("carry")
+    ).filter(F.col("carry").isNotNull())
+    inside = rows.withColumn(_INSIDE, earlier(_VALUE, Window.partitionBy(_CHUNK, _KEY).orderBy(*order)))
+    both = F.greatest(_INSIDE, "carry") if largest else F.coalesce(_INSIDE, "carry")
+    found = inside.join(carries, [_CHUNK, _KEY], "left").withColumn(_VALUE, both)
+    return found.select(*df.columns, F.col(_VALUE)["v"].alias(name))

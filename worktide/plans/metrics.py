@@ -302,10 +302,11 @@ def _(v):
 
 
 @query("overlapping_attempts", """
-SELECT a.job_id, a.attempt_number, a.attempt_id,
-       b.started_at + INTERVAL '1' MILLISECOND * CAST(b.duration_ms AS INT) AS previous_end
-FROM late a JOIN late b ON a.job_id = b.job_id AND a.attempt_number = b.attempt_number + 1
-WHERE a.started_at < b.started_at + INTERVAL '1' MILLISECOND * CAST(b.duration_ms AS INT)""",
+SELECT job_id, attempt_number, attempt_id, previous_end FROM (
+  SELECT *, max(started_at + INTERVAL '1' MILLISECOND * CAST(duration_ms AS INT)) OVER (
+    PARTITION BY job_id ORDER BY started_at, attempt_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_end
+  FROM late) t
+WHERE started_at < previous_end""",
        ("v_attempts",), "late AS (SELECT * REPLACE (duration_ms * 100 AS duration_ms) FROM v_attempts)")
 def _(v):
     late = v.attempts.withColumn("duration_ms", F.col("duration_ms") * 100)

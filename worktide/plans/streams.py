@@ -47,9 +47,10 @@ def _(v):
     return changes.first_per(sent.union(sent), ["event_id"], ["created_at"])
 
 
-@query("lifecycle_fold", "SELECT * FROM judged", ("v_outbox",), STEPS)
+@query("lifecycle_fold", "SELECT j.* FROM judged j, mark WHERE (epoch_us(created_at) + 999) // 1000 < epoch_us(mark) // 1000",
+       ("v_outbox",), f"{STEPS},\n{_MARK}")
 def _(v):
-    return drain(stateful.lifecycle_stream(v.streaming("events").outbox), "lifecycle")
+    return drain(stateful.lifecycle_stream(v.streaming("events").outbox, DELAY), "lifecycle")
 
 
 @query("lifecycle_status", """
@@ -77,7 +78,7 @@ def _signals(outbox):
 
 @query("expiry", """
 SELECT job_id, lease_end AS expired_at FROM signals, mark
-WHERE alive AND (next_ts > lease_end OR (next_ts IS NULL AND epoch_us(lease_end) // 1000 < epoch_us(mark) // 1000))""",
+WHERE alive AND (next_ts > lease_end OR next_ts IS NULL) AND (epoch_us(lease_end) + 999) // 1000 < epoch_us(mark) // 1000""",
        ("v_outbox",), f"{_SIGNALS},\n{_MARK}")
 def _(v):
     signals = zoned(_signals(v.streaming("events").outbox), "ts")
@@ -113,7 +114,7 @@ def _(v):
 
 @query("rate_limit_stream", ORACLES["rate_limit"].replace("client_id, ts, allowed", "client_id, allowed"))
 def _(v):
-    return drain(stateful.rate_limit_stream(v.streaming("events").requests, CAPACITY, PERIOD), "rate-limit")
+    return drain(stateful.rate_limit_stream(v.streaming("events").requests, DELAY, CAPACITY, PERIOD), "rate-limit")
 
 
 def _window_sql(starts: str, size: int) -> str:

@@ -1,110 +1,158 @@
 """Per-key state over streams: lifecycle status, lease expiry, token buckets.
 
-Rows of a key are put in order within each micro-batch; how many there can be is bounded by the
-batch (see ``io.FILES_PER_BATCH``). The batch forms in ``operators`` cut hot keys into chunks instead.
+Rows wait in their key's state until the watermark has passed them and are then taken in (time, id) order, so the
+results do not depend on which file or micro-batch brought a row. They equal the batch forms' as long as no row comes
+later than ``delay``; Spark drops later ones and counts them in the progress report's ``numRowsDroppedByWatermark``.
+Rows still waiting when a stream stops come out when it goes on. Rows without a time are left out.
+
+A key's state holds its rows of the last ``delay``. One task works on a key in a micro-batch; the batch forms in
+``operators`` cut hot keys into chunks instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from worktide.functions import rules as R
 from worktide.functions import states as S
 from worktide.operators.audit import allowed_step
-from worktide.operators.leases import LeaseFold
 from worktide.operators.limits import BucketFold
 
 
-def _in_order(frames: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
-    return pd.concat(frames, ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+class _Watcher:
+    """What a stream knows of a key, and what it says about it. ``known`` must be JSON-serializable."""
+
+    def step(self, known, row: list) -> tuple[object, list[tuple]]:
+        """After a row (microseconds, id, other columns)."""
+        raise NotImplementedError
+
+    def settle(self, known, mark_us: int) -> tuple[object, list[tuple]]:
+        """After all rows before the watermark."""
+        return known, []
+
+    def wake(self, known) -> int | None:
+        """When to settle if no row comes."""
+        return None
+
+
+def _milliseconds(us: int) -> int:
+    return -(-us // 1000)
+
+
+def _in_event_order(rows: DataFrame, key: str, ts: Column, row_id: str, carried: Sequence[str], delay: str,
+                    watcher: _Watcher, outputs: str) -> DataFrame:
+    """Run ``watcher`` over each key's rows: the key, and the ``outputs`` of what it says."""
+    timed = rows.select(key, ts.cast("timestamp").alias("__ts"), row_id, *carried).withWatermark("__ts", delay)
+    keyed = timed.filter(F.col("__ts").isNotNull()).withColumn("__us", F.unix_micros("__ts"))
+    columns = ["__us", row_id, *carried]
+    names = [key, *[part.split()[0] for part in outputs.split(", ")]]
+
+    def run(group, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        known, waiting = map(json.loads, state.get) if state.exists else (None, [])
+        if not state.hasTimedOut:
+            for frame in frames:
+                waiting.extend(map(list, zip(*[frame[c].tolist() for c in columns])))
+        mark = state.getCurrentWatermarkMs()
+        waiting.sort(key=lambda row: (row[0], row[1]))
+        said, passed = [], 0
+        while passed < len(waiting) and _milliseconds(waiting[passed][0]) < mark:
+            known, more = watcher.step(known, waiting[passed])
+            said += more
+            passed += 1
+        known, more = watcher.settle(known, mark * 1000)
+        said += more
+        waiting = waiting[passed:]
+        if known is None and not waiting:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((json.dumps(known), json.dumps(waiting)))
+            times = [waiting[0][0]] if waiting else []
+            if known is not None and watcher.wake(known) is not None:
+                times.append(watcher.wake(known))
+            if times:
+                state.setTimeoutTimestamp(max(_milliseconds(min(times)), mark + 1))
+        if said:
+            yield pd.DataFrame([(group[0], *values) for values in said], columns=names)
+
+    return keyed.groupBy(key).applyInPandasWithState(
+        run, f"{key} {dict(rows.dtypes)[key]}, {outputs}", "known string, waiting string", "append",
+        GroupStateTimeout.EventTimeTimeout)
+
+
+class _Lifecycle(_Watcher):
+    def step(self, known, row):
+        us, event, kind, status = row
+        return (known, []) if status is None else (status, [(event, us, kind, status, known)])
+
+
+def lifecycle_stream(events: DataFrame, delay: str) -> DataFrame:
+    """Each event with the status its job had before it and whether the move is allowed.
+
+    A job's last status is kept for good: any later event has to be judged by it.
+    """
+    types = events.schema
+    stated = events.withColumn("status", R.event_status(F.col("event_type")))
+    outputs = f"event_id {types['event_id'].dataType.simpleString()}, us bigint, event_type string, status string, previous_status string"
+    followed = _in_event_order(stated, "job_id", F.col("created_at"), "event_id", ["event_type", "status"], delay, _Lifecycle(), outputs)
+    at = F.timestamp_micros("us").cast(types["created_at"].dataType).alias("created_at")
+    return followed.select("job_id", "event_id", at, "event_type", "status", "previous_status").withColumn("allowed", allowed_step())
+
+
+class _Lease(_Watcher):
+    """Knows when the lease ends."""
 
+    def __init__(self, ttl_us: int):
+        self.ttl = ttl_us
 
-def lifecycle_stream(events: DataFrame) -> DataFrame:
-    """Each event with the status its job had before it and whether the move is allowed."""
-    known = events.select("job_id", "event_id", "created_at", "event_type").withColumn(
-        "status", R.event_status(F.col("event_type"))
-    ).filter(F.col("status").isNotNull())
-    fields = known.schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    def step(self, known, row):
+        us, _, alive = row
+        return (us + self.ttl if alive else None), ([(known,)] if known is not None and known < us else [])
 
-    def follow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _in_order(frames, "created_at", "event_id")
-        rows["previous_status"] = rows["status"].shift(1)
-        if state.exists:
-            rows.loc[0, "previous_status"] = state.get[0]
-        state.update((rows["status"].iloc[-1],))
-        yield rows
+    def settle(self, known, mark_us):
+        # Every row up to the lease's end has been seen.
+        return (None, [(known,)]) if known is not None and _milliseconds(known) * 1000 < mark_us else (known, [])
 
-    followed = known.groupBy("job_id").applyInPandasWithState(
-        follow, fields.replace(",", ", ") + ", previous_status string", "status string", "append",
-        GroupStateTimeout.NoTimeout,
-    )
-    return followed.withColumn("allowed", allowed_step())
+    def wake(self, known):
+        return known
 
 
-def expiry_stream(signals: DataFrame, ttl_seconds: int, delay: str) -> DataFrame:
-    """Leases nobody renewed or ended within the TTL: (job_id, expired_at).
+def expiry_stream(signals: DataFrame, ttl_seconds: int, delay: str, signal_id: str = "signal_id") -> DataFrame:
+    """Leases nobody renewed or ended within the TTL: (job_id, expired_at), reported once the watermark has passed the end.
 
-    ``signals`` has job_id, ts (zoned), alive: a start or renewal keeps the lease alive, an end closes it.
-    A lease is reported when a later signal shows the gap, or when the watermark passes its end.
+    ``signals`` has job_id, ts, alive and a unique id: a start or renewal keeps the lease alive, an end closes it.
     """
-    keyed = signals.withWatermark("ts", delay).select(
-        "job_id", "ts", F.unix_micros("ts").alias("us"), "alive"
-    )
-    fold = LeaseFold(ttl_seconds)
-    job_type = dict(signals.dtypes)["job_id"]
-
-    def watch(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        expired = []
-        if state.hasTimedOut:
-            expired.append(state.get[0])
-            state.remove()
-        else:
-            until = state.get[0] if state.exists else None
-            rows = _in_order(frames, "us")
-            for row in zip(rows["us"].tolist(), rows["alive"].tolist()):
-                until, (lost,) = fold.step(until, row)
-                if lost is not None:
-                    expired.append(lost)
-            if until is None:
-                if state.exists:
-                    state.remove()
-            else:
-                state.update((until,))
-                state.setTimeoutTimestamp(max(until // 1000, state.getCurrentWatermarkMs() + 1))
-        if expired:
-            yield pd.DataFrame({"job_id": [key[0]] * len(expired), "us": expired})
-
-    found = keyed.groupBy("job_id").applyInPandasWithState(
-        watch, f"job_id {job_type}, us bigint", "until_us bigint", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    found = _in_event_order(signals, "job_id", F.col("ts"), signal_id, ["alive"], delay, _Lease(ttl_seconds * 1_000_000), "us bigint")
     return found.select("job_id", F.timestamp_micros("us").alias("expired_at"))
 
 
-def rate_limit_stream(requests: DataFrame, capacity: int = S.RATE_PER_MINUTE, period_seconds: int = 60) -> DataFrame:
+class _Bucket(_Watcher):
+    """Knows level and time of the last request; forgets a bucket that is full again, as an unknown one is full."""
+
+    def __init__(self, fold: BucketFold):
+        self.fold = fold
+
+    def step(self, known, row):
+        level, decision = self.fold.step(known or self.fold.start((row[0],)), (row[0],))
+        return level, [(row[1], *decision)]
+
+    def settle(self, known, mark_us):
+        return (None if known is not None and self.wake(known) < mark_us else known), []
+
+    def wake(self, known):
+        return known[1] + self.fold.cost
+
+
+def rate_limit_stream(requests: DataFrame, delay: str, capacity: int = S.RATE_PER_MINUTE, period_seconds: int = 60) -> DataFrame:
     """Token-bucket decisions per client as requests arrive: request_id, client_id, allowed, units_left."""
-    fold = BucketFold(capacity, period_seconds * 1_000_000)
-    timed = requests.select("client_id", "request_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
-    types = dict(requests.dtypes)
-
-    def spend(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _in_order(frames, "us", "request_id")
-        level = list(state.get) if state.exists else None
-        decisions = []
-        for us in rows["us"].tolist():
-            level, decision = fold.step(level or fold.start((us,)), (us,))
-            decisions.append(decision)
-        state.update(tuple(level))
-        yield pd.DataFrame({
-            "client_id": rows["client_id"], "request_id": rows["request_id"],
-            "allowed": [d[0] for d in decisions], "units_left": [d[1] for d in decisions],
-        })
-
-    return timed.groupBy("client_id").applyInPandasWithState(
-        spend, f"client_id {types['client_id']}, request_id {types['request_id']}, allowed boolean, units_left bigint",
-        "level bigint, us bigint", "append", GroupStateTimeout.NoTimeout,
-    )
+    if capacity < 1:
+        raise ValueError("capacity must be at least 1")
+    watcher = _Bucket(BucketFold(capacity, period_seconds * 1_000_000))
+    outputs = f"request_id {dict(requests.dtypes)['request_id']}, allowed boolean, units_left bigint"
+    return _in_event_order(requests, "client_id", F.col("ts"), "request_id", [], delay, watcher, outputs)
