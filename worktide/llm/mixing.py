@@ -15,11 +15,12 @@ labels at all everything is clean; an empty table gives no rows; other columns p
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worktide.llm.common import ascii_lower, free_name, stored, whole
+from worktide.llm.common import free_name, stored
 
 DOMAINS = ("clean", "poor", "toxic")
 #: Shares of the tokens that the domains are to have.
@@ -38,13 +39,24 @@ STEP = 0.9
 ITERATIONS = 24
 
 
-def features(text: Column) -> Column:
-    """Hashes of the distinct words, and of coarse shares of symbols and capitals."""
-    words = F.array_distinct(F.split(ascii_lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", -1))
-    n = F.greatest(F.length(text), F.lit(1))
-    shares = [F.xxhash64(F.lit(f"#{name}"), F.least(F.floor(F.regexp_count(text, F.lit(pattern)) / n * 40), F.lit(20)))
-              for name, pattern in (("symbols", r"[#*$%&|<>!]"), ("capitals", "[A-Z]"))]
-    return F.concat(F.transform(words, lambda w: F.xxhash64(w)), F.array(*shares))
+#: Lower-cases A-Z and turns every other ASCII byte that is no digit or letter into a space.
+_PLAIN = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in bytes(range(128)).lower() + bytes(range(128, 256)))
+
+
+def features(text: str | None) -> tuple[int, np.ndarray]:
+    """Number of words; hashes of the distinct words of letters and digits, and of coarse shares of symbols and capitals."""
+    text = text or ""
+    data, n = text.encode("utf-8", "replace"), max(len(text), 1)
+    found = [xxhash.xxh64_intdigest(w) for w in set(data.translate(_PLAIN).split())]
+    for name, marks in (("#symbols", b"#*$%&|<>!"), ("#capitals", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")):
+        share = min((len(data) - len(data.translate(None, marks))) * 40 // n, 20)
+        found.append(xxhash.xxh64_intdigest(f"{name} {share}"))
+    return len(data.split()), np.sort(np.array(found, np.uint64).view(np.int64))
+
+
+@F.pandas_udf("array<long>")
+def hashed(texts: pd.Series) -> pd.Series:
+    return pd.Series([features(t)[1] for t in texts], dtype=object)
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -84,7 +96,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
         return Softmax(np.empty(0, np.int64), np.zeros((0, len(DOMAINS))), np.log(prior))
     # At most SAMPLE narrow rows a class: small by that bound.
     rows = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(picked), F.col("id") == F.col("key")).dropDuplicates(["key"])
-    sample = rows.select("domain", features(whole("text")).alias("f")).toArrow()
+    sample = rows.select("domain", hashed("text").alias("f")).toArrow()
     y = sample.column("domain").to_numpy().astype(int)
     lists = sample.column("f").combine_chunks()
     values, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
@@ -124,27 +136,19 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
 def posteriors(docs: DataFrame, model: Softmax, text: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with one more column, a struct (tokens, clean, poor, toxic), and its name."""
-    work, name = free_name(docs, "hashes_"), free_name(docs, "membership")
+    name = free_name(docs, "membership")
     shared = docs.sparkSession.sparkContext.broadcast((model.known, model.weights, model.bias))
 
-    @F.pandas_udf("clean double, poor double, toxic double")
-    def member(hashes):
-        import pandas as pd
-
-        own = Softmax(*shared.value)
-        sizes = np.fromiter((len(h) for h in hashes), np.int64, len(hashes))
-        values = np.concatenate(hashes.to_list()) if len(hashes) else np.empty(0, np.int64)
-        return pd.DataFrame(own.posteriors(values, np.concatenate([[0], np.cumsum(sizes)])), columns=list(DOMAINS))
-
-    rows = docs.withColumn(work, F.struct(features(whole(docs[text])).alias("f"), _tokens(docs[text]).alias("n")))
-    p = member(F.col(f"{work}.f"))
-    rows = rows.withColumn(name, F.struct(F.col(f"{work}.n").alias("tokens"), p.alias("p")))
-    return rows.select(*[docs[c] for c in docs.columns], F.struct(
-        F.col(f"{name}.tokens").alias("tokens"), *[F.col(f"{name}.p.{d}").alias(d) for d in DOMAINS]).alias(name)), name
-
+    @F.pandas_udf("tokens long, clean double, poor double, toxic double")
+    def member(texts: pd.Series) -> pd.DataFrame:
+        found = [features(t) for t in texts]
+        values = np.concatenate([h for _, h in found]) if found else np.empty(0, np.int64)
+        ends = np.cumsum([0] + [len(h) for _, h in found])
+        result = pd.DataFrame(Softmax(*shared.value).posteriors(values, ends), columns=list(DOMAINS))
+        result.insert(0, "tokens", np.array([n for n, _ in found], np.int64))
+        return result
 
-def _tokens(text: Column) -> Column:
-    return F.regexp_count(whole(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    return docs.withColumn(name, member(docs[text].cast("string"))), name
 
 
 def rate(history: list[list[float]], p: list[Column], pull: float = PULL, step: float = STEP) -> Column:
