@@ -337,7 +337,7 @@ def _renewals(v):
 
 
 @query("extend_leases", f"""
-SELECT j.job_id, j.locked_by, max(r.ts) + INTERVAL '1' SECOND * {TTL} AS locked_until
+SELECT j.job_id, j.locked_by, greatest(any_value(j.locked_until), max(r.ts) + INTERVAL '1' SECOND * {TTL}) AS locked_until
 FROM renewed r JOIN v_jobs j ON r.job_id = j.job_id AND r.worker_id = j.locked_by AND j.status = 'RUNNING'
 GROUP BY j.job_id, j.locked_by""", _OUTCOMES, _RENEWED)
 def _(v):

@@ -112,7 +112,8 @@ def _(v):
     return leases.worker_sessions(v.heartbeats, SESSION_TTL)
 
 
-@query("rate_limit_stream", ORACLES["rate_limit"].replace("client_id, ts, allowed", "client_id, allowed"))
+@query("rate_limit_stream", ORACLES["rate_limit"].replace("client_id, ts, allowed", "client_id, allowed") + f"""
+WHERE (epoch_us(ts) + 999) // 1000 < (SELECT max(epoch_us(ts)) // 1000 FROM events) - {DELAY_HOURS * 3_600_000}""")
 def _(v):
     return drain(stateful.rate_limit_stream(v.streaming("events").requests, DELAY, CAPACITY, PERIOD), "rate-limit")
 
