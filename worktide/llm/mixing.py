@@ -54,9 +54,12 @@ def features(text: str | None) -> tuple[int, np.ndarray]:
     return len(data.split()), np.sort(np.array(found, np.uint64).view(np.int64))
 
 
-@F.pandas_udf("array<long>")
-def hashed(texts: pd.Series) -> pd.Series:
-    return pd.Series([features(t)[1] for t in texts], dtype=object)
+def hashed(text: Column) -> Column:
+    """The hashes of ``features``."""
+    def each(texts: pd.Series) -> pd.Series:
+        return pd.Series([features(t)[1] for t in texts], dtype=object)
+
+    return F.pandas_udf(each, "array<long>")(text)
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -96,7 +99,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
         return Softmax(np.empty(0, np.int64), np.zeros((0, len(DOMAINS))), np.log(prior))
     # At most SAMPLE narrow rows a class: small by that bound.
     rows = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(picked), F.col("id") == F.col("key")).dropDuplicates(["key"])
-    sample = rows.select("domain", hashed("text").alias("f")).toArrow()
+    sample = rows.select("domain", hashed(F.col("text").cast("string")).alias("f")).toArrow()
     y = sample.column("domain").to_numpy().astype(int)
     lists = sample.column("f").combine_chunks()
     values, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
