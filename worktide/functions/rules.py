@@ -18,15 +18,17 @@ from worktide.functions import states as S
 Instant = Column | datetime | str
 
 
+def moment(value: datetime | str) -> datetime:
+    """A given instant in UTC, its zone taken off; one without a zone is taken as UTC."""
+    value = datetime.fromisoformat(value) if isinstance(value, str) else value
+    return value if value.tzinfo is None else value.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def instant(value: Instant, kind: str | T.DataType = "timestamp_ntz") -> Column:
     """A timestamp column from a datetime, a text or a column, independent of local time zones."""
     if isinstance(value, Column):
         return value
-    if isinstance(value, datetime):
-        if value.tzinfo is not None:
-            value = value.astimezone(timezone.utc).replace(tzinfo=None)
-        value = value.isoformat(sep=" ")
-    return F.lit(value).cast(kind)
+    return F.lit(moment(value).isoformat(sep=" ") if isinstance(value, (datetime, str)) else value).cast(kind)
 
 
 def instant_like(value: Instant, df: DataFrame, column: str) -> Column:
@@ -103,8 +105,31 @@ def trimmed(text: Column) -> Column:
     return F.trim(text, F.lit(_WHITE))
 
 
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def is_json(text: Column) -> Column:
+    """Whether a text is one JSON value; repeated keys are allowed, which a variant does not take.
+
+    What is no variant is read as the only element of an array and as the only field of an object: a text that closes
+    either early, or holds more than one value, fails in one of them.
+    """
+    element = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _STRICT)
+    field = F.from_json(F.concat(F.lit('{"a":'), text, F.lit("}")), "a string, bad string",
+                        _STRICT | {"columnNameOfCorruptRecord": "bad"})
+    alone = (F.size(element) == 1) & field["bad"].isNull()
+    return F.coalesce(F.when(F.try_parse_json(text).isNotNull(), True).otherwise(alone), F.lit(False))
+
+
 def is_json_document(payload: Column) -> Column:
-    return F.coalesce(F.try_parse_json(payload).isNotNull() & (payload != "null"), F.lit(False))
+    return is_json(payload) & F.coalesce(payload != "null", F.lit(False))
+
+
+def json_field(document: Column, name: str, text: Column) -> Column:
+    """A field as JSON text, where ``text`` is the field read as a string: strings get their quotes back."""
+    value = F.try_variant_get(F.try_parse_json(document), f"$.{name}", "variant")
+    quoted = F.when(F.schema_of_variant(value) == "STRING", F.to_json(value))
+    return F.coalesce(F.when(document.rlike(rf'"{name}"\s*:\s*"'), quoted), text)
 
 
 def is_supported_type(job_type: Column) -> Column:

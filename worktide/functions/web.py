@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worktide.functions import states as S
-from worktide.functions.rules import trimmed
+from worktide.functions.rules import json_field, trimmed
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _DOTTED = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
@@ -161,7 +161,7 @@ def webhook_calls(jobs: DataFrame, allowlist: Sequence[str] | DataFrame = (), al
     unreadable = F.coalesce(F.col("__call").isNull() | F.col("__call._bad").isNotNull(), F.lit(True))
     opened = parsed.select(
         *jobs.columns, unreadable.alias("__bad_payload"), F.col("__call.url").alias("url"),
-        F.col("__call.method").alias("__method"), F.col("__call.headers").alias("__headers"), F.col("__call.body").alias("body"),
+        F.col("__call.method").alias("__method"), F.col("__call.headers").alias("__headers"), json_field(F.col("payload"), "body", F.col("__call.body")).alias("body"),
     )
     checked = classify_targets(opened, allowlist, allow_private=allow_private).withColumn(
         "method", normal_method(F.col("__method")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +41,20 @@ def judge_commands(jobs: DataFrame, commands: DataFrame) -> DataFrame:
 
 
 def judge_single_commands(jobs: DataFrame, commands: DataFrame) -> DataFrame:
-    """The same for batches with at most one command per job: one join, no ordering needed."""
+    """The same for batches with at most one command per job: one join, no ordering needed.
+
+    A job with several fails the run.
+    """
     on = ["job_id", "tenant_id"] if "tenant_id" in commands.columns else ["job_id"]
     known = jobs.select(*on, F.col("status").alias("initial_status"))
     allowed = R.command_allowed(F.col("command"), F.col("initial_status"))
-    return commands.join(known, on, "left").withColumns({
+    # The join has brought the commands of a job together already.
+    several = F.count(F.lit(1)).over(Window.partitionBy(*on)) > 1
+    return commands.join(known, on, "left").withColumn("__several", several).withColumns({
         "status_before": F.col("initial_status"),
-        "status_after": F.when(allowed, R.command_target(F.col("command"))),
-    })
+        "status_after": F.when(F.col("__several"), F.raise_error(F.lit("a job has several commands")).cast("string"))
+        .when(allowed, R.command_target(F.col("command"))),
+    }).drop("__several")
 
 
 def apply_commands(jobs: DataFrame, attempts: DataFrame, commands: DataFrame, as_of: R.Instant,

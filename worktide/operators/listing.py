@@ -18,8 +18,14 @@ def page_number(page: int) -> int:
     return max(1, page)
 
 
+#: Rows a page may have. ``matching_jobs`` gives all of them.
+LARGEST_PAGE = 100
+
+
 def page_size(size: int) -> int:
-    return 20 if size < 1 else min(size, 100)
+    if not 1 <= size <= LARGEST_PAGE:
+        raise ValueError(f"a page has 1 to {LARGEST_PAGE} rows")
+    return size
 
 
 @dataclass(frozen=True)
@@ -46,7 +52,8 @@ class JobFilter:
         if self.order not in ("asc", "desc"):
             raise ValueError("unsupported order")
         after, before = self.created_after, self.created_before
-        if after is not None and before is not None and not isinstance(after, Column) and str(after) > str(before):
+        given = after is not None and before is not None and not isinstance(after, Column) and not isinstance(before, Column)
+        if given and R.moment(after) > R.moment(before):
             raise ValueError("created_after must not be after created_before")
 
 

@@ -27,8 +27,9 @@ _MARK = "mark AS (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) - INTE
 @query("relay", f"{ENVELOPE_SQL} WHERE {UNCLAIMED}", ("v_outbox",))
 def _(v):
     spark, target = v._spark, scratch_path(v._spark, "relay")
+    later = file_writer(scratch_path(spark, "relay-later"))
     running = relay.relay_stream(
-        v.streaming("events").outbox, file_writer(target), scratch_path(spark, "relay-checkpoint"), EVENTS_AS_OF)
+        v.streaming("events").outbox, file_writer(target), scratch_path(spark, "relay-checkpoint"), EVENTS_AS_OF, later=later)
     running.awaitTermination()
     return spark.read.schema("key string, value string").parquet(target).select("key", "value")
 

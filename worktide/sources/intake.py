@@ -48,7 +48,7 @@ def parse_requests(lines: DataFrame, body: str = "body") -> DataFrame:
     return parsed.withColumn("error", F.when(F.coalesce(bad, F.lit(True)), "INVALID_JSON")).select(
         *lines.columns, "error",
         *[F.coalesce(texts[name], F.lit("")).alias(name) for name in ("name", "job_type")],
-        R.empty_to_null(F.col("__r.payload")).alias("payload"),
+        R.json_field(text, "payload", R.empty_to_null(F.col("__r.payload"))).alias("payload"),
         at.try_cast("timestamp").alias("run_at"),
         *[F.coalesce(f"__r.{name}", F.lit(0)).alias(name) for name in numbers],
     )

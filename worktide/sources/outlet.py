@@ -4,16 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from worktide.functions import rules as R
+
 Writer = Callable[[DataFrame, int], None]
 
 _TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def can_be_sent(payload: Column) -> Column:
+    """No payload at all, or one that is JSON."""
+    return payload.isNull() | R.is_json(payload)
+
+
+def unsendable(events: DataFrame) -> DataFrame:
+    """(event_id, reason) of the events that ``envelope`` leaves out."""
+    return events.filter(~can_be_sent(F.col("payload"))).select("event_id", F.lit("payload is not valid JSON").alias("reason"))
+
+
 def envelope(events: DataFrame) -> DataFrame:
-    """(key, value) records: the job id, and the event as JSON without empty optional fields."""
+    """(key, value) records: the job id, and the event as JSON without empty optional fields.
+
+    The payload stands in it as it was given, text for text. Events whose payload is not JSON are left out; see
+    ``unsendable``.
+    """
     def optional(name: str):
         return F.nullif(F.col(name).cast("string"), F.lit("")) if name in events.columns else F.lit(None).cast("string")
 
@@ -24,11 +40,12 @@ def envelope(events: DataFrame) -> DataFrame:
         F.lit("job").alias("entity_type"), F.col("job_id").cast("string").alias("entity_id"),
         F.date_format(F.col("created_at").cast("timestamp"), _TIME).alias("occurred_at"),
         optional("correlation_id").alias("correlation_id"), optional("causation_id").alias("causation_id"),
-        # A variant keeps the payload a nested document instead of a quoted text.
-        F.try_parse_json(F.col("payload")).alias("payload"),
     )
-    return events.select(
-        F.col("job_id").cast("string").alias("key"), F.to_json(record).alias("value"), "event_id", "created_at"
+    head = F.to_json(record)
+    value = F.when(F.col("payload").isNull(), head).otherwise(
+        F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"payload":'), F.col("payload"), F.lit("}")))
+    return events.filter(can_be_sent(F.col("payload"))).select(
+        F.col("job_id").cast("string").alias("key"), value.alias("value"), "event_id", "created_at"
     )
 
 

@@ -2,35 +2,77 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from worktide.functions import rules as R
-from worktide.sources.outlet import Writer, publish
+from worktide.operators.changes import apply_changes
+from worktide.operators.outbox import apply_publish_results, claim_publishable, hold_back
+from worktide.session import checkpoint_dir
+from worktide.sources.outlet import Writer, can_be_sent, publish
+
+
+def _results(rows: DataFrame, relay_id: str, error) -> DataFrame:
+    return rows.select(F.col("event_id").alias("result_id"), "event_id", F.lit(relay_id).alias("relay_id"),
+                       error.isNull().alias("delivered"), error.alias("error"))
+
+
+def _error(failure: str | None = None):
+    sent = F.lit(failure).cast("string")
+    return F.when(~can_be_sent(F.col("payload")), "payload is not valid JSON").otherwise(sent)
+
+
+def relay_round(outbox: DataFrame, writer: Writer, as_of: R.Instant, relay_id: str = "relay", n: int = 50,
+                lease_seconds: int = 30, round_id: int = 0) -> DataFrame:
+    """Claim up to ``n`` due events, send them, record what came of it; returns the next outbox.
+
+    Events that are not due, backed off or leased stay for a later round. A failed record is backed off, and the later
+    events of its job are not sent ahead of it: they keep this round's lease and come back when it ends. An error of
+    the writer fails the whole round.
+    """
+    checkpoint_dir(outbox.sparkSession)
+    claimed = claim_publishable(outbox, as_of, relay_id, n, lease_seconds).checkpoint()
+    results = hold_back(_results(claimed, relay_id, _error()), claimed)
+    good = claimed.join(results.filter("delivered").select("event_id"), "event_id", "left_semi")
+    try:
+        publish(good, writer, round_id)
+    except Exception as problem:  # Whatever the sink raises is a failed delivery, to be tried again.
+        results = hold_back(_results(claimed, relay_id, _error(str(problem) or type(problem).__name__)), claimed)
+    held = apply_changes(outbox, claimed, "event_id")
+    done = apply_publish_results(held, results, as_of).materialize()
+    return apply_changes(held, done.events, "event_id")
 
 
 def relay_stream(events: DataFrame, writer: Writer, checkpoint: str, as_of: R.Instant | None = None,
-                 record: Writer | None = None, relay_id: str = "relay") -> StreamingQuery:
+                 record: Writer | None = None, relay_id: str = "relay", later: Writer | None = None) -> StreamingQuery:
     """Publish a stream of outbox rows, batch by batch, until it has caught up.
 
     Delivery is at least once: a batch that fails after its records were accepted is sent again under
     the same batch id. A sink that replaces by batch id therefore ends up with each record once. With
-    ``as_of`` only rows publishable at that instant are sent, otherwise all unpublished ones. ``record``
-    receives the deliveries of each batch in the form ``apply_publish_results`` takes.
+    ``as_of`` only rows publishable at that instant are sent; a stream offers a row only once, so ``later``
+    has to take the unpublished rest, for ``relay_round`` or another run. ``record`` receives the results of
+    each batch in the form ``apply_publish_results`` takes; payloads that are not JSON are failures.
     """
-    ready = F.col("published_at").isNull() if as_of is None else R.is_publishable(
-        R.instant_like(as_of, events, "created_at"))
+    if (as_of is None) != (later is None):
+        raise ValueError("as_of and later go together: rows that are not due must be kept")
+    ready = F.lit(True) if as_of is None else R.is_publishable(R.instant_like(as_of, events, "created_at"))
+    ready = F.coalesce(ready, F.lit(False))
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, writer, batch_id)
-        if record is not None:
-            record(batch.select(
-                F.col("event_id").alias("result_id"), "event_id", F.lit(relay_id).alias("relay_id"),
-                F.lit(True).alias("delivered"), F.lit(None).cast("string").alias("error"),
-            ), batch_id)
-
-    return events.filter(ready).writeStream.foreachBatch(deliver).option(
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            due = batch.filter(ready)
+            publish(due, writer, batch_id)
+            if later is not None:
+                later(batch.filter(~ready), batch_id)
+            if record is not None:
+                record(_results(due, relay_id, _error()), batch_id)
+        finally:
+            batch.unpersist()
+
+    return events.filter(F.col("published_at").isNull()).writeStream.foreachBatch(deliver).option(
         "checkpointLocation", checkpoint
     ).trigger(availableNow=True).start()
 
