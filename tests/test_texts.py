@@ -10,7 +10,7 @@ from worktide.functions import web
 from worktide.operators import commands, listing
 from worktide.sources import snapshots
 from worktide.sources.intake import parse_requests
-from worktide.sources.outlet import envelope, unsendable
+from worktide.sources.outlet import compact, envelope, unsendable
 from worktide.streaming.relay import relay_round
 
 GOOD = ['{"a":1,"a":2}', '"abc"', "5", "[1, 2]", "null", '{"n":12345678901234567890123456789012345678901234567890}', ' {"a":{"a":1,"a":"}"}} ',
@@ -56,6 +56,13 @@ def test_envelope_carries_the_payload_as_given(spark):
     assert [r["event_id"] for r in rows(unsendable(events))] == ["e3"]
 
 
+def test_compact(spark):
+    long = '{"a":"' + '\\" ' * 50_000 + '"}'
+    given = [' { "a b" : [ 1 , " \\" x " ] }\n', long, '"$1 \\\\" ']
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "i int, t string")
+    assert [r["t"] for r in rows(table.select("i", compact(F.col("t")).alias("t")), "i")] == ['{"a b":[1," \\" x "]}', long, '"$1 \\\\"']
+
+
 def test_relay_rounds_lose_nothing(spark):
     sent, fail = [], [True]
 
