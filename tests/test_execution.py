@@ -167,8 +167,10 @@ def test_extend_and_release(spark):
     renewals = spark.createDataFrame(
         [("j0", "w1", "2024-05-01 10:00:00"), ("j0", "w1", "2024-05-01 10:00:20"), ("j1", "w2", "2024-05-01 10:00:00")],
         "job_id string, worker_id string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    change = execution.extend_leases(jobs, renewals, 60)
-    assert [(j["job_id"], str(j["locked_until"])) for j in rows(change.jobs)] == [("j0", "2024-05-01 10:01:20")]
+    # The lease runs until 10:05: a renewal that would end before that does not shorten it.
+    for ttl, until in ((60, "2024-05-01 10:05:00"), (600, "2024-05-01 10:10:20")):
+        change = execution.extend_leases(jobs, renewals, ttl)
+        assert [(j["job_id"], str(j["locked_until"])) for j in rows(change.jobs)] == [("j0", until)]
     assert [r.job_id for r in change.rejects.collect()] == ["j1"]
     asked = spark.createDataFrame([(1, "j0", "w1"), (2, "j1", "w2")], "release_id int, job_id string, worker_id string")
     given_back = execution.release(jobs, asked, NOW)
