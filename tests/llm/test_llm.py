@@ -89,6 +89,21 @@ def test_spread_grams_give_the_same(docs, monkeypatch):
     assert sorted(map(str, suffixes.dedup_report(docs).collect())) == usual
 
 
+def test_copies_of_one_text_are_not_gathered_in_one_bucket(spark, monkeypatch):
+    whole, limit, text = suffixes.repeated_windows, 100, " ".join(f"word{i}" for i in range(150))
+
+    def bounded(items):
+        assert len(items) <= limit, len(items)
+        return whole(items)
+
+    monkeypatch.setattr(suffixes, "repeated_windows", bounded)
+    monkeypatch.setattr(suffixes, "BUCKET", 50)
+    rows = [(i, text) for i in range(1500)] + [(1500 + i, f"own{i} {text[300:900]} end{i}") for i in range(20)] + [(1600, text[:250] + "x" * 40)]
+    found = by_id(suffixes.dedup_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    assert all(found[i]["n_removed"] == len(text) for i in range(1500))
+    assert all(found[1500 + i]["n_removed"] >= 600 for i in range(20)) and found[1600]["n_removed"] == 250
+
+
 def test_quality_rules(spark, docs, nothing):
     found = by_id(quality.quality_report(docs))
     for r in docs.collect():

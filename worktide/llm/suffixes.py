@@ -9,8 +9,11 @@ comparing where the known prefix ends and never looks at a known prefix again. T
 its LCPs; with the same order of the bytes before the anchors, a window at offset d is repeated where two suffixes agree
 in 200 - d bytes after the anchor and d bytes before it. That is exact: strings are compared, hashes only place them.
 
-A gram of very many suffixes is spread over several buckets by the hash of the whole string; windows that its buckets
-cannot settle alone are matched by a 128-bit fingerprint over all of them. Texts are shuffled compressed.
+Equal strings around an anchor, as copies have, are one string where they are found: all their windows are repeated, so
+their ranges are known there, and one of them goes on to meet the others. A bucket thus gets a string at most once from
+each run. A gram of very many suffixes is spread over several buckets by the hash of the whole string, and over lanes of
+runs where there are more runs than a bucket may hold; windows that its buckets cannot settle alone are matched by a
+128-bit fingerprint over all of them. Texts are shuffled compressed.
 
 Null texts are empty; repeated rows are repeats of each other; matches never cross documents; an empty table gives no
 rows; other columns are not touched.
@@ -35,6 +38,8 @@ SPAN = LENGTH - GRAM + 1
 BUCKET = 40_000
 #: Bytes of suffixes sorted at once in a task.
 RUN_BYTES = 24 << 20
+#: Buckets from here down hold ranges that are known to be repeated.
+COPIES = -(1 << 41)
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 _TABLE = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=8).digest(), "big") for b in range(256)], np.uint64)
@@ -134,10 +139,20 @@ def common_prefix(a: bytes, b: bytes, known: int) -> int:
     return end - (differ.bit_length() + 7) // 8
 
 
-def front_code(items: list[tuple]) -> bytes:
-    """A sorted run of (suffix, before, row, at) as bytes: each suffix without what it shares with the one before it."""
+def packed(block: bytes) -> bytes:
     import zstandard
 
+    return zstandard.ZstdCompressor(level=3).compress(block)
+
+
+def opened(block: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(block)
+
+
+def front_code(items: list[tuple]) -> bytes:
+    """A sorted run of (suffix, before, row, at) as bytes: each suffix without what it shares with the one before it."""
     shared, tails, befores, last = [], [], [], b""
     for suffix, before, _, _ in items:
         n = common_prefix(last, suffix, 0)
@@ -147,15 +162,12 @@ def front_code(items: list[tuple]) -> bytes:
         last = suffix
     heads = np.array([shared, [len(t) for t in tails], [len(b) for b in befores]], np.uint8)
     refs = np.array([(row, at) for _, _, row, at in items], np.int64)
-    return zstandard.ZstdCompressor(level=3).compress(
-        len(items).to_bytes(4, "big") + heads.tobytes() + refs.T.tobytes() + b"".join(tails) + b"".join(befores))
+    return packed(len(items).to_bytes(4, "big") + heads.tobytes() + refs.T.tobytes() + b"".join(tails) + b"".join(befores))
 
 
 def read_run(block: bytes):
     """(shared with the one before, suffix, before, row, at) of a front-coded run."""
-    import zstandard
-
-    data = zstandard.ZstdDecompressor().decompress(block)
+    data = opened(block)
     n = int.from_bytes(data[:4], "big")
     shared, tails, befores = np.frombuffer(data, np.uint8, 3 * n, 4).reshape(3, n).tolist()
     rows, places = np.frombuffer(data, np.int64, 2 * n, 4 + 3 * n).reshape(2, n).tolist()
@@ -257,11 +269,13 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     places = stored(places, "anchors")
     total = places.agg(F.sum(F.size("places"))).first()[0] or 0
     buckets = int(total // BUCKET) + 1
+    # A run holds RUN_BYTES, so that there are about this many for each of BUCKET places in a bucket.
+    lanes = 1 + int(total * (2 * LENGTH + 150) // RUN_BYTES // BUCKET)
 
     def runs(batches):
         import zstandard
 
-        open_, held, weight = zstandard.ZstdDecompressor(), {}, 0
+        open_, held, weight, lane = zstandard.ZstdDecompressor(), {}, 0, None
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
@@ -271,29 +285,42 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
                     for a, h, first, last in zip(*(x.tolist() for x in segments(np.frombuffer(text, np.uint8))), strict=True):
                         if a not in wanted:
                             continue
-                        suffix, before, salt = text[a:last + LENGTH], text[first:a], 0
+                        suffix, before = text[a:last + LENGTH], text[first:a]
                         if wanted[a] > 1:
                             # Bucket numbers below 0: spread grams.
+                            lane = row % lanes if lane is None else lane
                             salt = int.from_bytes(hashlib.blake2b(suffix + before, digest_size=8).digest()) % wanted[a]
-                            bucket = -1 - (h + salt) % (1 << 40)
+                            bucket = -1 - (h + salt + lane * wanted[a]) % (1 << 40)
                         else:
                             bucket = h % buckets
-                        held.setdefault(bucket, []).append((suffix, before, row, a))
-                        weight += len(suffix) + len(before) + 150
+                        same = held.setdefault(bucket, {}).setdefault((suffix, before), [])
+                        weight += 150 if same else len(suffix) + len(before) + 150
+                        same.append((row, a))
                 if weight > RUN_BYTES:
                     yield from flush(held)
-                    held, weight = {}, 0
+                    held, weight, lane = {}, 0, None
         yield from flush(held)
 
     def flush(held):
-        for bucket, items in held.items():
-            items.sort(key=lambda x: x[0])
+        copies = []
+        for bucket, strings in held.items():
+            items = sorted(((suffix, before, *refs[0]) for (suffix, before), refs in strings.items()), key=lambda x: x[0])
             for at in range(0, len(items), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([front_code(items[at:at + 20_000])], pa.binary())],
-                                                 names=["bucket", "run"])
+                yield piece(bucket, front_code(items[at:at + 20_000]))
+            copies += [(row, a - len(before), a + len(suffix)) for (suffix, before), refs in strings.items() if len(refs) > 1 for row, a in refs]
+        for at in range(0, len(copies), 20_000):
+            block = np.array(copies[at:at + 20_000], np.int64).tobytes()
+            # Ranges already known pass through a bucket of their own.
+            yield piece(COPIES - int.from_bytes(hashlib.blake2b(block, digest_size=5).digest()), packed(block))
+
+    def piece(bucket, block):
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([block], pa.binary())], names=["bucket", "run"])
 
     def settle(key, table):
         bucket = table.column("bucket")[0].as_py()
+        if bucket <= COPIES:
+            known = np.concatenate([np.frombuffer(opened(b.as_py()), np.int64).reshape(-1, 3) for b in table.column("run")])
+            return pa.Table.from_arrays([*map(pa.array, known.T.copy()), pa.nulls(len(known), pa.binary())], names=["row", "start", "finish", "mark"])
         items = list(merge_runs([read_run(b.as_py()) for b in table.column("run")]))
         repeats = repeated_windows(items)
         r, s, e = _spans(items, repeats)
