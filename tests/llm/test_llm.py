@@ -405,6 +405,24 @@ def test_decontamination(spark, nothing):
     assert not any(r["leaked"] for r in decontam.leak_report(docs, items.limit(0)).collect())
 
 
+def test_items_with_an_altered_end_are_found(spark):
+    rng = np.random.default_rng(11)
+    items = [[f"w{rng.integers(5000)}" for _ in range(n)] for n in range(15, 60) for _ in range(4)]
+    docs, expected = [], set()
+    for i, words in enumerate(items):
+        cut = max(1, len(words) // 10)
+        copy = words[:-cut] + [f"new{i}x{k}" for k in range(cut)]
+        own, other = ({tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (words, copy))
+        if len(own & other) / max(len(own), len(other)) >= 0.81:
+            expected.add(i)
+        docs.append((i, " ".join([*(f"f{i}x{k}" for k in range(40)), *copy, "tail"])))
+    assert len(expected) > 100
+    found = by_id(decontam.leak_report(spark.createDataFrame(docs, "doc_id long, text string"),
+                                       spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")))
+    assert not [i for i in expected if found[i]["items"] != str(i)]
+    assert all(r["similarity"] >= 0.8 for r in found.values() if r["leaked"])
+
+
 def test_hamming_blocks_cover_the_radius():
     rng = np.random.default_rng(6)
     for _ in range(500):

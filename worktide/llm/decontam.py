@@ -1,11 +1,10 @@
-"""Benchmark decontamination: item-sized windows of documents, SimHash, multi-index Hamming search, exact check.
+"""Benchmark decontamination: item-sized windows of documents, each checked exactly against the items it shares text with.
 
 A window of an item's number of words is a candidate where it shares a five-word shingle with an item at the item's
-own offset; no other window can pass the check. Windows and items get a 64-bit SimHash over their words. The
-fingerprints are cut into four blocks: within radius 11, at least one block differs in two bits at most, so items are
-indexed under every block value within two bits and windows look up their own four blocks - no fingerprint within the
-radius is missed. What the fingerprints let through is checked exactly: the IDF weight of the distinct shingles both
-have, over the larger of the two weights, must reach 0.8.
+own offset. Every such window meets every item that it has a shingle in common with and that is of like length; no
+fingerprint stands between, since near copies of short items differ in more bits than a Hamming search can cover. A pair
+passes where the IDF weight of the distinct shingles both have, over the larger of the two weights, reaches 0.8. Weights
+are whole numbers of 2^-40, so that sums do not depend on their order.
 
 Words are split at ASCII white space, with A-Z in lower case. Items of fewer than five words have their whole sequence
 as one shingle. Null or wordless items match nothing, null texts are empty, repeated rows get the same result, empty
@@ -14,20 +13,20 @@ tables give no leaks, and other columns are not touched.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worktide.llm.common import ascii_lower, free_name, saved, span_words, split_words, whole
+from worktide.llm.common import ascii_lower, free_name, span_words, split_words, whole
 
 SHINGLE = 5
 SIMILARITY = 0.8
+#: The Hamming layout of earlier versions; the search does not use it.
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 4, 16, 2
-#: Every pair within so many bits has a block within BLOCK_RADIUS: 4 * (2 + 1) - 1.
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
-#: Up to so many items (about 550 short index rows each, 30 MB in all) the item tables are broadcast; beyond, shuffled.
+#: Up to so many items the item tables (a row for each shingle) are broadcast; beyond, shuffled.
 BROADCAST_ITEMS = 2000
+#: Units of a weight.
+UNIT = 1 << 40
 
 
 def shingles(words: Column, size: int | Column = SHINGLE) -> Column:
@@ -35,19 +34,6 @@ def shingles(words: Column, size: int | Column = SHINGLE) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.array_join(F.slice(words, i + 1, size), " "))
 
 
-def fingerprint(words: Column) -> Column:
-    """SimHash over the words, repeats included: a bit is 1 if it is set in more than half of the hashes."""
-    return F.get(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), lambda hs: F.aggregate(
-        F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"),
-        lambda bits, k: F.when(
-            2 * F.aggregate(hs, F.lit(0), lambda n, h: n + F.call_function("shiftright", h, k).bitwiseAND(F.lit(1)).cast("int")) > F.size(hs),
-            bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k))).otherwise(bits))), F.lit(0))
-
-
-def block(bits: Column, k: int) -> Column:
-    return F.shiftrightunsigned(bits, k * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
-
-
 def item_table(items: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
     """(item_id, words, n, size, shingles): the distinct items that have words; size is that of their shingles."""
     rows = items.select(items[item].alias("item_id"), split_words(ascii_lower(whole(items[text]))).alias("words")).distinct()
@@ -97,44 +83,27 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     rows = _docs(docs, key, text)
     windows = seeded_windows(rows, found, small) if found.limit(1).count() else rows.select(
         "doc_id", "digest", F.lit(0).alias("start"), F.lit(0).alias("n"), "words").limit(0)
-    windows = saved(windows.withColumn("bits", fingerprint(F.col("words"))))
-
     total = found.agg(F.count("*").alias("items"))
     df = found.select(F.explode(F.array_distinct("shingles")).alias("shingle")).groupBy("shingle").agg(F.count("*").alias("df"))
-    weighed = df.join(F.broadcast(total)).withColumn("weight", F.log(1 + F.col("items") / F.col("df"))).select("shingle", "weight")
-    heavy = (found.select("item_id", "words", "n", "size", F.explode(F.array_distinct("shingles")).alias("shingle"))
-             .join(hint(weighed), "shingle")
-             .groupBy("item_id", "words", "n", "size")
-             .agg(F.collect_list(F.struct("shingle", "weight")).alias("weights"), F.sum("weight").alias("item_weight")))
-    heavy = heavy.withColumn("bits", fingerprint(F.col("words")))
-
-    flips = [0] + [sum(1 << b for b in pick) for r in range(1, BLOCK_RADIUS + 1) for pick in combinations(range(BLOCK_BITS), r)]
-    keys = F.concat(*[F.transform(F.array(*[F.lit(x) for x in flips]), _flipped(k)) for k in range(BLOCKS)])
-    index = heavy.select("item_id", F.col("n").alias("item_n"), F.col("bits").alias("item_bits"), F.explode(keys).alias("probe"))
-    probes = windows.select("doc_id", "digest", "start", "n", "bits", F.explode(F.array(
-        *[F.struct(F.lit(k).alias("block"), block(F.col("bits"), k).alias("value")) for k in range(BLOCKS)])).alias("probe"))
-    near = (probes.join(hint(index), "probe")
-            .filter((F.abs(F.col("n") - F.col("item_n")) <= F.col("item_n") * (1 - similarity))
-                    & (F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits"))) <= RADIUS))
-            .select("doc_id", "digest", "start", "n", "item_id").distinct())
-
-    texts = windows.select("doc_id", "digest", "start", "n", F.col("words").alias("window"))
-    at = F.struct("doc_id", "digest", "start", "n")
-    pairs = near.withColumn("at", at).drop("doc_id", "digest", "start", "n").join(texts.withColumn("at_", at), F.col("at").eqNullSafe(F.col("at_")))
-    pairs = pairs.join(hint(heavy.select(F.col("item_id").alias("item_"), "size", "weights", "item_weight")), F.col("item_id").eqNullSafe(F.col("item_")))
-    pairs = pairs.withColumn("have", F.array_distinct(shingles(F.col("window"), F.least(F.col("size"), F.size("window")))))
-    shared = F.filter("weights", lambda x: F.array_contains("have", x["shingle"]))
-    weight = F.aggregate(shared, F.lit(0.0), lambda a, x: a + x["weight"])
+    weighed = df.join(F.broadcast(total)).select("shingle", F.round(F.log(1 + F.col("items") / F.col("df")) * UNIT).cast("long").alias("weight"))
+    entry = ["item_id", "item", "item_n"]
+    heavy = (found.select("item_id", F.xxhash64("words").alias("item"), F.col("n").alias("item_n"), F.explode(F.array_distinct("shingles")).alias("shingle"))
+             .join(hint(weighed), "shingle"))
     # A shingle that no item has weighs as much as the rarest one.
-    rarest = F.array_max(F.transform("weights", lambda x: x["weight"]))
-    window_weight = weight + (F.size("have") - F.size(shared)) * rarest
-    score = weight / F.greatest("item_weight", window_weight)
+    sums = heavy.groupBy(*entry).agg(F.sum("weight").alias("item_weight"), F.max("weight").alias("rarest"))
+    sums = sums.select(F.struct(*entry).alias("entry"), "item_weight", "rarest")
+    index = (heavy.select("shingle", "weight", F.struct(*entry).alias("of")).join(hint(sums), F.col("of").eqNullSafe(F.col("entry")))
+             .select("shingle", "weight", "item_weight", "rarest", "entry"))
+
+    have = windows.select("doc_id", "digest", "start", "n", F.array_distinct(shingles(F.col("words"), F.least(F.lit(SHINGLE), F.col("n")))).alias("have"))
+    each = have.select("doc_id", "digest", "start", "n", F.size("have").alias("n_have"), F.explode("have").alias("shingle"))
+    near = each.join(hint(index), "shingle").filter(F.abs(F.col("n") - F.col("entry.item_n")) <= F.col("entry.item_n") * (1 - similarity))
+    pairs = near.groupBy("doc_id", "digest", "start", "n", "entry").agg(
+        F.sum("weight").alias("weight"), F.count("*").alias("n_shared"), *[F.max(c).alias(c) for c in ("n_have", "item_weight", "rarest")])
+    window_weight = F.col("weight") + (F.col("n_have") - F.col("n_shared")) * F.col("rarest")
+    score = F.col("weight") / F.greatest("item_weight", window_weight)
     return (pairs.withColumn("similarity", score).filter(F.col("similarity") >= similarity)
-            .select("doc_id", "digest", "item_id", "start", "n", "similarity"))
-
-
-def _flipped(k: int):
-    return lambda x: F.struct(F.lit(k).alias("block"), block(F.col("bits"), k).bitwiseXOR(x).alias("value"))
+            .select("doc_id", "digest", F.col("entry.item_id").alias("item_id"), "start", "n", "similarity"))
 
 
 def per_document(found: DataFrame) -> DataFrame:
