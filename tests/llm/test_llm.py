@@ -430,6 +430,26 @@ def test_hamming_blocks_cover_the_radius():
         assert min(collections.Counter(int(b) // decontam.BLOCK_BITS for b in flips).get(k, 0) for k in range(decontam.BLOCKS)) <= decontam.BLOCK_RADIUS
 
 
+def test_pipeline_finds_near_copies_by_similarity(spark):
+    import corpus_pipeline
+
+    rng, rows, dropped = np.random.default_rng(8), [], set()
+    for i in range(80):
+        words = [f"w{x}" for x in rng.zipf(1.3, 200) % 50000]
+        copy = [w if rng.random() >= 0.015 else f"new{i}" for w in words]
+        own, other = ({tuple(w[k:k + 5]) for k in range(196)} for w in (words, copy))
+        if len(own & other) / len(own | other) >= 0.8:
+            dropped.add(1000 + i)
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(copy))]
+    base = [f"b{k}" for k in range(300)]
+    for i in range(60):  # one group, larger than a bucket that is compared in full
+        rows.append((2000 + i, " ".join([*base[:100 + i], f"own{i}", *base[101 + i:]])))
+    rows += [(3000, None), (3001, " "), (None, "no id")]
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert len(dropped) > 40
+    assert kept == {i for i, _ in rows} - dropped - set(range(2001, 2060)) - {3001}
+
+
 def test_pipeline(spark, docs, nothing):
     import corpus_pipeline
 
