@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worktide.llm import chat, decontam, licenses, lm, mixing, quality, secrets, simhash, suffixes, warc
+from worktide.llm import alignment, chat, decontam, licenses, lm, mixing, pieces, quality, secrets, simhash, spelling, suffixes, warc
 from worktide.llm.common import scratch, table
 from worktide.session import prepare
 
@@ -124,3 +124,59 @@ def mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes covered by repeated 200-byte strings, removed."""
     return suffixes.dedup_report(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    """The path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def piece_model() -> bytes:
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as file:
+        return file.read()
+
+
+@query("op11_pieces")
+def piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts encoded into pieces and decoded again."""
+    return pieces.encoding_report(table(spark, sf_dir, "documents"), piece_model())
+
+
+@query("op12_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers."""
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return alignment.link_report(table(spark, sf_dir, "documents"), file.read(), piece_model())
+
+
+SPELLING_SQL = r"""
+WITH RECURSIVE bits AS (SELECT i AS n, i AS v, 0 AS k FROM range(256) t(i) UNION ALL
+  SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+crcs AS (SELECT list(v ORDER BY n) AS t FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+counted AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, run, count(*) AS c FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+hexed AS (SELECT run, c, hex(encode(id || ':' || run)) AS x FROM counted),
+hashed AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i:
+  (16 * (instr('0123456789ABCDEF', x[i]) - 1) + instr('0123456789ABCDEF', x[i + 1]) - 1)::BIGINT)),
+  lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM hexed, crcs),
+changed AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, c FROM hashed),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT a.word, b.word AS o, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(less := -m, o := o)) AS b FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 2 * v.n THEN b.o END AS form, CASE WHEN -b.less >= 2 * v.n THEN -b.less END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS reached, form AS onward FROM f UNION ALL SELECT w.word, f.word, f.form FROM walk w JOIN f ON f.word = w.onward)
+SELECT f.word, f.form, reached AS root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n
+FROM f JOIN walk USING (word) WHERE onward IS NULL"""
+
+
+@query("op13_spelling", SPELLING_SQL)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, their near words and the forms they lead to."""
+    return spelling.variant_report(table(spark, sf_dir, "documents"))
