@@ -5,39 +5,46 @@ results do not depend on which file or micro-batch brought a row. They equal the
 later than ``delay``; Spark drops later ones and counts them in the progress report's ``numRowsDroppedByWatermark``.
 Rows still waiting when a stream stops come out when it goes on. Rows without a time are left out.
 
-A key's state holds its rows of the last ``delay``. One task works on a key in a micro-batch; the batch forms in
-``operators`` cut hot keys into chunks instead.
+The state is typed and lives in the RocksDB store: what is known of a key, and its waiting rows in slots of time, a map
+entry for each slot and micro-batch. Slots are narrow near the watermark and eight times as wide at each step further
+ahead; one timer a key opens what the watermark reaches, and rows of a wide slot that are not due move to narrower ones. A row is thus written and
+read at most once a step, however many rows wait beside it: a hot key's micro-batch costs what is new and what is due.
+One task works on a key in a micro-batch; the batch forms in ``operators`` cut hot keys into chunks instead.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from worktide.functions import rules as R
 from worktide.functions import states as S
 from worktide.operators.audit import allowed_step
 from worktide.operators.limits import BucketFold
 
+_STEP = 8
+
 
 class _Watcher:
-    """What a stream knows of a key, and what it says about it. ``known`` must be JSON-serializable."""
+    """What a stream knows of a key, a tuple of the type ``known``, and what it says about it."""
+
+    known: str
 
-    def step(self, known, row: list) -> tuple[object, list[tuple]]:
+    def step(self, known: tuple | None, row: tuple) -> tuple[tuple | None, list[tuple]]:
         """After a row (microseconds, id, other columns)."""
         raise NotImplementedError
 
-    def settle(self, known, mark_us: int) -> tuple[object, list[tuple]]:
+    def settle(self, known: tuple | None, mark_us: int) -> tuple[tuple | None, list[tuple]]:
         """After all rows before the watermark."""
         return known, []
 
-    def wake(self, known) -> int | None:
-        """When to settle if no row comes."""
+    def wake(self, known: tuple) -> int | None:
+        """When to settle if no row comes, in microseconds."""
         return None
 
 
@@ -45,62 +52,145 @@ def _milliseconds(us: int) -> int:
     return -(-us // 1000)
 
 
+def _in_order(row: Sequence) -> tuple:
+    return row[0], row[1] is not None, row[1]
+
+
+class _InEventOrder(StatefulProcessor):
+    """Feeds ``watcher`` each key's rows as the watermark passes them."""
+
+    def __init__(self, watcher: _Watcher, row_type: T.StructType, names: Sequence[str], base_ms: int):
+        self.watcher, self.row_type, self.base = watcher, row_type, base_ms
+        self.made = Row(*names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", self.watcher.known)
+        # The slots in use with their numbers of chunks, and the time of the key's timer.
+        self.index = handle.getValueState("slots", "levels array<int>, places array<bigint>, chunks array<int>, timer bigint")
+        self.waiting = handle.getMapState("waiting", "level int, place bigint, chunk int", T.StructType([T.StructField("rows", T.ArrayType(self.row_type))]))
+
+    def _load(self) -> tuple[dict[tuple[int, int], int], int | None]:
+        held = self.index.get()
+        if held is None:
+            return {}, None
+        return {(level, place): n for level, place, n in zip(held[0], held[1], held[2], strict=True)}, held[3]
+
+    def _put(self, slots: dict, rows: list[tuple], mark: int) -> None:
+        new: dict[tuple[int, int], list[tuple]] = {}
+        for row in rows:
+            at, level, width = row[0] // 1000, 0, self.base
+            while at - mark >= _STEP * width:
+                level, width = level + 1, width * _STEP
+            new.setdefault((level, at // width), []).append(row)
+        for slot, found in new.items():
+            chunk = slots.get(slot, 0)
+            self.waiting.updateValue((*slot, chunk), (found,))
+            slots[slot] = chunk + 1
+
+    def _take(self, slots: dict, mark: int) -> list[tuple]:
+        """The rows of the slots that the watermark has entered, out of the state."""
+        rows = []
+        for level, place in [s for s in slots if s[1] * self.base * _STEP ** s[0] < mark]:
+            for chunk in range(slots.pop((level, place))):
+                rows.extend(tuple(row) for row in self.waiting.getValue((level, place, chunk))[0])
+                self.waiting.removeKey((level, place, chunk))
+        return rows
+
+    def _save(self, slots: dict, known: tuple | None, timer: int | None, mark: int) -> None:
+        times = []
+        for level, place in slots:
+            width = self.base * _STEP ** level
+            # A narrow slot opens when it has passed, a wide one when its first stretch has.
+            times.append(max(place * width + self.base, mark) + 1)
+        if known is not None and self.watcher.wake(known) is not None:
+            times.append(max(_milliseconds(self.watcher.wake(known)), mark) + 1)
+        wanted = min(times, default=None)
+        if wanted != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if wanted is not None:
+                self.handle.registerTimer(wanted)
+        if wanted is None:
+            self.index.clear()
+        else:
+            levels, places = zip(*slots, strict=True) if slots else ((), ())
+            self.index.update((list(levels), list(places), list(slots.values()), wanted))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802,N803
+        mark = max(0, timerValues.getCurrentWatermarkInMs())
+        slots, timer = self._load()
+        self._put(slots, [tuple(row[name] for name in self.row_type.names) for row in rows], mark)
+        self._save(slots, self.known.get(), timer, mark)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802,N803
+        mark = timerValues.getCurrentWatermarkInMs()
+        slots, timer = self._load()
+        rows = sorted(self._take(slots, mark), key=_in_order)
+        before = known = self.known.get()
+        said, passed = [], 0
+        while passed < len(rows) and _milliseconds(rows[passed][0]) < mark:
+            known, more = self.watcher.step(known, rows[passed])
+            said += more
+            passed += 1
+        known, more = self.watcher.settle(known, mark * 1000)
+        said += more
+        if known != before:
+            if known is None:
+                self.known.clear()
+            else:
+                self.known.update(tuple(known))
+        self._put(slots, rows[passed:], mark)
+        self._save(slots, known, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer, mark)
+        for values in said:
+            yield self.made(key[0], *values)
+
+
 def _in_event_order(rows: DataFrame, key: str, ts: Column, row_id: str, carried: Sequence[str], delay: str,
                     watcher: _Watcher, outputs: str) -> DataFrame:
     """Run ``watcher`` over each key's rows: the key, and the ``outputs`` of what it says."""
     timed = rows.select(key, ts.cast("timestamp").alias("__ts"), row_id, *carried).withWatermark("__ts", delay)
     keyed = timed.filter(F.col("__ts").isNotNull()).withColumn("__us", F.unix_micros("__ts"))
-    columns = ["__us", row_id, *carried]
+    row_type = T.StructType([T.StructField(n, keyed.schema[n].dataType) for n in ("__us", row_id, *carried)])
+    made = f"{key} {dict(rows.dtypes)[key]}, {outputs}"
     names = [key, *[part.split()[0] for part in outputs.split(", ")]]
+    base = max(1, pd.Timedelta(delay).value // 1_000_000 // _STEP)
+    return keyed.groupBy(key).transformWithState(_InEventOrder(watcher, row_type, names, base), made, "Append", "EventTime")
 
-    def run(group, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known, waiting = map(json.loads, state.get) if state.exists else (None, [])
-        if not state.hasTimedOut:
-            for frame in frames:
-                waiting.extend(map(list, zip(*[frame[c].tolist() for c in columns])))
-        mark = state.getCurrentWatermarkMs()
-        waiting.sort(key=lambda row: (row[0], row[1]))
-        said, passed = [], 0
-        while passed < len(waiting) and _milliseconds(waiting[passed][0]) < mark:
-            known, more = watcher.step(known, waiting[passed])
-            said += more
-            passed += 1
-        known, more = watcher.settle(known, mark * 1000)
-        said += more
-        waiting = waiting[passed:]
-        if known is None and not waiting:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((json.dumps(known), json.dumps(waiting)))
-            times = [waiting[0][0]] if waiting else []
-            if known is not None and watcher.wake(known) is not None:
-                times.append(watcher.wake(known))
-            if times:
-                state.setTimeoutTimestamp(max(_milliseconds(min(times)), mark + 1))
-        if said:
-            yield pd.DataFrame([(group[0], *values) for values in said], columns=names)
 
-    return keyed.groupBy(key).applyInPandasWithState(
-        run, f"{key} {dict(rows.dtypes)[key]}, {outputs}", "known string, waiting string", "append",
-        GroupStateTimeout.EventTimeTimeout)
+class _Lifecycle(_Watcher):
+    """Knows the last status and when it came; ``forget`` microseconds later it does not, unless that is None."""
+
+    known = "status string, since bigint"
 
+    def __init__(self, forget: int | None):
+        self.forget = forget
 
-class _Lifecycle(_Watcher):
     def step(self, known, row):
         us, event, kind, status = row
-        return (known, []) if status is None else (status, [(event, us, kind, status, known)])
+        if known is not None and self.forget is not None and known[1] + self.forget < us:
+            known = None
+        return (known, []) if status is None else ((status, us), [(event, us, kind, status, known and known[0])])
 
+    def settle(self, known, mark_us):
+        return (None if known is not None and self.forget is not None and known[1] + self.forget < mark_us else known), []
 
-def lifecycle_stream(events: DataFrame, delay: str) -> DataFrame:
+    def wake(self, known):
+        return None if self.forget is None else known[1] + self.forget
+
+
+def lifecycle_stream(events: DataFrame, delay: str, forget: str | None = None) -> DataFrame:
     """Each event with the status its job had before it and whether the move is allowed.
 
-    A job's last status is kept for good: any later event has to be judged by it.
+    A job's last status is kept for good, as any later event has to be judged by it, or for the time ``forget``: an event
+    that comes later than that counts as the job's first.
     """
     types = events.schema
     stated = events.withColumn("status", R.event_status(F.col("event_type")))
     outputs = f"event_id {types['event_id'].dataType.simpleString()}, us bigint, event_type string, status string, previous_status string"
-    followed = _in_event_order(stated, "job_id", F.col("created_at"), "event_id", ["event_type", "status"], delay, _Lifecycle(), outputs)
+    watcher = _Lifecycle(None if forget is None else pd.Timedelta(forget).value // 1000)
+    followed = _in_event_order(stated, "job_id", F.col("created_at"), "event_id", ["event_type", "status"], delay, watcher, outputs)
     at = F.timestamp_micros("us").cast(types["created_at"].dataType).alias("created_at")
     return followed.select("job_id", "event_id", at, "event_type", "status", "previous_status").withColumn("allowed", allowed_step())
 
@@ -108,19 +198,21 @@ def lifecycle_stream(events: DataFrame, delay: str) -> DataFrame:
 class _Lease(_Watcher):
     """Knows when the lease ends."""
 
+    known = "ends bigint"
+
     def __init__(self, ttl_us: int):
         self.ttl = ttl_us
 
     def step(self, known, row):
         us, _, alive = row
-        return (us + self.ttl if alive else None), ([(known,)] if known is not None and known < us else [])
+        return ((us + self.ttl,) if alive else None), ([known] if known is not None and known[0] < us else [])
 
     def settle(self, known, mark_us):
         # Every row up to the lease's end has been seen.
-        return (None, [(known,)]) if known is not None and _milliseconds(known) * 1000 < mark_us else (known, [])
+        return (None, [known]) if known is not None and _milliseconds(known[0]) * 1000 < mark_us else (known, [])
 
     def wake(self, known):
-        return known
+        return known[0]
 
 
 def expiry_stream(signals: DataFrame, ttl_seconds: int, delay: str, signal_id: str = "signal_id") -> DataFrame:
@@ -135,12 +227,14 @@ def expiry_stream(signals: DataFrame, ttl_seconds: int, delay: str, signal_id: s
 class _Bucket(_Watcher):
     """Knows level and time of the last request; forgets a bucket that is full again, as an unknown one is full."""
 
+    known = "level bigint, us bigint"
+
     def __init__(self, fold: BucketFold):
         self.fold = fold
 
     def step(self, known, row):
         level, decision = self.fold.step(known or self.fold.start((row[0],)), (row[0],))
-        return level, [(row[1], *decision)]
+        return tuple(level), [(row[1], *decision)]
 
     def settle(self, known, mark_us):
         return (None if known is not None and self.wake(known) < mark_us else known), []
