@@ -4,8 +4,8 @@ Where no piece of the vocabulary goes on after a white-space marker, merges cann
 that the words can be segmented one by one. A task keeps a table of the distinct marked words it has met: each is
 segmented once, its ids are appended to one flat array, and a text becomes the list of its words' places in the table,
 from which the ids are gathered by position. Line feeds end a chunk too where no piece holds one. Chunks that are
-too long to come back are segmented without being remembered, and a full table is emptied between batches, so that a
-task's memory is bounded by the table and one batch. Models that rewrite texts beyond the markers, or whose pieces cross
+too long to come back are segmented without being remembered, and a full table is emptied between groups of texts, so
+that a task's memory is bounded by the table and one batch. Models that rewrite texts beyond the markers, or whose pieces cross
 them, segment each text as a whole: the results are the library's either way.
 
 Null texts are empty; the empty text has no ids but the end id, if asked for; texts of any length are whole; repeated
@@ -27,9 +27,11 @@ from worktide.llm.common import whole
 
 MARKER = "▁"
 #: Distinct chunks a table may hold, and the ids they may have, before it is emptied; a longer chunk is not kept.
-TABLE_CHUNKS = 400_000
-TABLE_IDS = 4_000_000
+TABLE_CHUNKS = 200_000
+TABLE_IDS = 2_000_000
 LONGEST_CHUNK = 64
+#: Texts whose ids are gathered together.
+TEXTS_AT_ONCE = 200
 _PROBE = "\n  a\t ﬁ ①"
 
 
@@ -111,14 +113,17 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", name: str = "ids",
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = Segmenter(model)
         table = ChunkTable(pieces.segment, [[pieces.end] if add_end else []])
-        for texts in batches:
-            if table.full():
-                table.empty()
-            # Row 0 of the table ends each text.
-            rows = [np.append(table.rows(pieces.chunks(t.as_py())), 0) for t in texts]
-            ids, sizes = table.gather(np.concatenate(rows) if rows else np.zeros(0, np.int64))
-            ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, rows)])]
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+        for batch in batches:
+            found = []
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                if table.full():
+                    table.empty()
+                # Row 0 of the table ends each text.
+                rows = [np.append(table.rows(pieces.chunks(t.as_py())), 0) for t in batch.slice(start, TEXTS_AT_ONCE)]
+                ids, sizes = table.gather(np.concatenate(rows))
+                ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, rows)])]
+                found.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)))
+            yield pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int32()))
 
     return docs.withColumn(name, ids_of(whole(docs[text])))
 
