@@ -10,22 +10,57 @@ from worktide.functions import states as S
 from worktide.operators.changes import ChangeSet, guarded_join, revise
 
 
+ORDER = ("created_at", "event_id")
+
+
 def publishable(outbox: DataFrame, as_of: R.Instant, n: int = 50) -> DataFrame:
     """The next ``n`` events to publish, oldest first."""
     if n < 1:
         raise ValueError("n must be at least 1")
     now = R.instant_like(as_of, outbox, "created_at")
-    return outbox.filter(R.is_publishable(now)).orderBy("created_at", "event_id").limit(n)
+    return outbox.filter(R.is_publishable(now)).orderBy(*ORDER).limit(n)
+
+
+def frontier(outbox: DataFrame, as_of: R.Instant) -> DataFrame:
+    """(job_id, blocked_from) of the jobs with an unpublished event that cannot go out now: leased, backed off or not due.
+
+    From the oldest of these on, the job's events have to wait. An aggregate: a hot job is combined before the shuffle.
+    """
+    now = R.instant_like(as_of, outbox, "created_at")
+    stuck = F.col("published_at").isNull() & F.col("job_id").isNotNull() & ~F.coalesce(R.is_publishable(now), F.lit(False))
+    return outbox.filter(stuck).groupBy("job_id").agg(F.min(F.struct(*ORDER)).alias("blocked_from"))
+
+
+def publishable_in_order(outbox: DataFrame, as_of: R.Instant, n: int | None = 50) -> DataFrame:
+    """The next ``n`` events (all, if None) of each job's unbroken run of oldest unpublished ones.
+
+    An event goes out only when every earlier unpublished event of its job can go out with it, so that no round sends an event
+    ahead of one that waits. What the limit leaves out is later than what it lets through. Events without a job follow no order.
+    """
+    now = R.instant_like(as_of, outbox, "created_at")
+    wall = frontier(outbox, as_of).select(F.col("job_id").alias("__job"), "blocked_from")
+    ready = outbox.filter(R.is_publishable(now)).join(wall, F.col("job_id") == F.col("__job"), "left")
+    free = ready.filter(F.col("blocked_from").isNull() | (F.struct(*ORDER) < F.col("blocked_from"))).select(*outbox.columns)
+    if n is None:
+        return free
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    return free.orderBy(*ORDER).limit(n)
 
 
-def claim_publishable(outbox: DataFrame, as_of: R.Instant, relay_id: str, n: int = 50,
-                      lease_seconds: int = 30) -> DataFrame:
-    """The same rows with the relay's lease on them."""
+def claim_publishable(outbox: DataFrame, as_of: R.Instant, relay_id: str, n: int | None = 50,
+                      lease_seconds: int = 30, in_order: bool = False) -> DataFrame:
+    """The same rows with the relay's lease on them; ``in_order`` takes those of ``publishable_in_order``."""
     now = R.instant_like(as_of, outbox, "created_at")
-    picked = publishable(outbox, as_of, n).select("event_id")
-    return outbox.join(picked, "event_id", "left_semi").withColumns({
-        "claimed_by": F.lit(relay_id), "claimed_until": R.add_seconds(now, lease_seconds),
-    })
+    picked = publishable_in_order(outbox, as_of, n) if in_order else publishable(outbox, as_of, n or 0)
+    leased = {"claimed_by": F.lit(relay_id), "claimed_until": R.add_seconds(now, lease_seconds)}
+    return picked.withColumns(leased)
+
+
+def release_unsent(claimed: DataFrame, results: DataFrame) -> DataFrame:
+    """The claimed events that nothing was recorded of, given back: their turn comes with that of the event before them."""
+    rest = claimed.join(results.select("event_id"), "event_id", "left_anti")
+    return rest.withColumns({"claimed_by": F.lit(None).cast("string"), "claimed_until": F.lit(None).cast(claimed.schema["claimed_until"].dataType)})
 
 
 def apply_publish_results(outbox: DataFrame, results: DataFrame, as_of: R.Instant) -> ChangeSet:

@@ -34,6 +34,38 @@ def _(v):
     return spark.read.schema("key string, value string").parquet(target).select("key", "value")
 
 
+ROUNDS = tuple(f"2024-01-{day} 00:{minute}:{second:02d}" for day, minute, second in
+               ((20, "00", 0), (20, "00", 1), (20, "00", 4), (20, "10", 0), (25, "00", 0)))
+
+
+def _round_sql(before: str, after: str, as_of: str) -> str:
+    """One relay round over the outbox ``before``."""
+    now = f"TIMESTAMP '{as_of}'"
+    return f"""
+{after}_ready AS (SELECT *, published_at IS NULL AND next_publish_at <= {now} AND (claimed_until IS NULL OR claimed_until < {now}) AS ready,
+  (created_at, event_id) AS place FROM {before}),
+{after}_claimed AS (SELECT *, ready AND coalesce(place < min(place) FILTER (WHERE published_at IS NULL AND NOT ready) OVER (PARTITION BY job_id), true) AS claimed,
+  event_id % 11 = 0 AND publish_attempts < 2 AS fails FROM {after}_ready),
+{after}_sent AS (SELECT *, claimed AND coalesce(place <= min(place) FILTER (WHERE claimed AND fails) OVER (PARTITION BY job_id), true) AS recorded FROM {after}_claimed),
+{after} AS (SELECT event_id, job_id, created_at, CASE WHEN recorded AND NOT fails THEN {now} ELSE published_at END AS published_at,
+  publish_attempts + CASE WHEN recorded THEN 1 ELSE 0 END AS publish_attempts,
+  CASE WHEN recorded AND fails THEN {now} + to_seconds(least(300, pow(2, publish_attempts))) ELSE next_publish_at END AS next_publish_at,
+  CASE WHEN NOT claimed THEN claimed_until END AS claimed_until,
+  CASE WHEN recorded THEN CASE WHEN fails THEN 'refused' END ELSE error END AS error FROM {after}_sent)"""
+
+
+@query("relay_rounds", f"""
+SELECT event_id, job_id, created_at, published_at, publish_attempts::BIGINT AS publish_attempts, next_publish_at, claimed_until, error FROM round{len(ROUNDS)}""",
+       ("v_outbox",), "round0 AS (SELECT *, NULL::VARCHAR AS error FROM v_outbox)," + ",".join(
+           _round_sql(f"round{k}", f"round{k + 1}", at) for k, at in enumerate(ROUNDS)))
+def _(v):
+    """Five rounds over the outbox, with a sink that refuses some events until their third try: where every event ends up."""
+    refused = F.when((F.col("event_id") % 11 == 0) & (F.col("publish_attempts") < 2), "refused")
+    after = relay.relay_rounds(v.outbox, file_writer(scratch_path(v._spark, "rounds")), ROUNDS, refused=refused)
+    return after.select("event_id", "job_id", "created_at", "published_at", F.col("publish_attempts").cast("long").alias("publish_attempts"),
+                        "next_publish_at", "claimed_until", F.col("last_publish_error").alias("error"))
+
+
 @query("dedupe_events", "SELECT event_id, job_id, event_type, created_at FROM v_outbox", ("v_outbox",))
 def _(v):
     """Every event delivered twice, and seen once."""

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from worktide.functions import rules as R
 from worktide.operators.changes import apply_changes
-from worktide.operators.outbox import apply_publish_results, claim_publishable, hold_back
+from worktide.operators.outbox import apply_publish_results, claim_publishable, hold_back, release_unsent
 from worktide.session import checkpoint_dir
 from worktide.sources.outlet import Writer, can_be_sent, publish
 
@@ -19,30 +21,50 @@ def _results(rows: DataFrame, relay_id: str, error) -> DataFrame:
                        error.isNull().alias("delivered"), error.alias("error"))
 
 
-def _error(failure: str | None = None):
+def _error(failure: str | None = None, refused: Column | None = None):
     sent = F.lit(failure).cast("string")
+    if refused is not None:
+        sent = F.coalesce(refused, sent)
     return F.when(~can_be_sent(F.col("payload")), "payload is not valid JSON").otherwise(sent)
 
 
-def relay_round(outbox: DataFrame, writer: Writer, as_of: R.Instant, relay_id: str = "relay", n: int = 50,
-                lease_seconds: int = 30, round_id: int = 0) -> DataFrame:
+def relay_round(outbox: DataFrame, writer: Writer, as_of: R.Instant, relay_id: str = "relay", n: int | None = 50,
+                lease_seconds: int = 30, round_id: int = 0, refused: Column | None = None) -> DataFrame:
     """Claim up to ``n`` due events, send them, record what came of it; returns the next outbox.
 
-    Events that are not due, backed off or leased stay for a later round. A failed record is backed off, and the later
-    events of its job are not sent ahead of it: they keep this round's lease and come back when it ends. An error of
-    the writer fails the whole round.
+    Only the unbroken run of a job's oldest unpublished events is claimed, so that events that are not due, backed off or leased hold
+    back the later ones of their job, in this round and in all that follow. A failed record is backed off; the later
+    events of its job are not sent ahead of it and are given back. An error of the writer fails the whole round.
+    ``refused`` gives the error of events that the sink is known to refuse, such as too large ones, and null for the others.
     """
+    changed = _round(outbox, writer, as_of, relay_id, n, lease_seconds, round_id, refused)
+    return apply_changes(outbox, changed, "event_id")
+
+
+def _round(outbox, writer, as_of, relay_id, n, lease_seconds, round_id, refused) -> DataFrame:
     checkpoint_dir(outbox.sparkSession)
-    claimed = claim_publishable(outbox, as_of, relay_id, n, lease_seconds).checkpoint()
-    results = hold_back(_results(claimed, relay_id, _error()), claimed)
+    claimed = claim_publishable(outbox, as_of, relay_id, n, lease_seconds, in_order=True).checkpoint()
+    results = hold_back(_results(claimed, relay_id, _error(refused=refused)), claimed)
     good = claimed.join(results.filter("delivered").select("event_id"), "event_id", "left_semi")
     try:
         publish(good, writer, round_id)
     except Exception as problem:  # Whatever the sink raises is a failed delivery, to be tried again.
         results = hold_back(_results(claimed, relay_id, _error(str(problem) or type(problem).__name__)), claimed)
-    held = apply_changes(outbox, claimed, "event_id")
-    done = apply_publish_results(held, results, as_of).materialize()
-    return apply_changes(held, done.events, "event_id")
+    done = apply_publish_results(claimed, results, as_of)
+    return done.events.unionByName(release_unsent(claimed, results), allowMissingColumns=True).checkpoint()
+
+
+def relay_rounds(outbox: DataFrame, writer: Writer, instants: Sequence[R.Instant], relay_id: str = "relay", n: int | None = None,
+                 lease_seconds: int = 30, refused: Column | None = None) -> DataFrame:
+    """One round at each instant; returns the outbox after the last. Rounds read and write only what is unpublished."""
+    checkpoint_dir(outbox.sparkSession)
+    pending = outbox.filter(F.col("published_at").isNull()).checkpoint()
+    settled = outbox.filter(F.col("published_at").isNotNull())
+    for number, as_of in enumerate(instants):
+        changed = _round(pending, writer, as_of, relay_id, n, lease_seconds, number, refused)
+        settled = settled.unionByName(changed.filter(F.col("published_at").isNotNull()), allowMissingColumns=True)
+        pending = apply_changes(pending, changed, "event_id").filter(F.col("published_at").isNull()).checkpoint()
+    return settled.unionByName(pending, allowMissingColumns=True)
 
 
 def relay_stream(events: DataFrame, writer: Writer, checkpoint: str, as_of: R.Instant | None = None,
