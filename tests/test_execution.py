@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -100,6 +102,44 @@ def test_a_job_without_an_open_attempt_conflicts(spark):
     assert change.jobs.count() == 0 and change.rejects.count() == 1
 
 
+_REPORTS = ("outcome_id int, job_id string, attempt_id string, worker_id string, duration_ms bigint, http_status int, retry_after string, "
+            "body string, error_kind string, error_message string")
+
+
+def test_reports_settle_the_attempt_they_name(spark):
+    jobs, attempts = running(spark, {}, {}, {}, {})
+    older = attempts.filter("job_id = 'j0'").withColumn("attempt_id", F.lit("a-older"))
+    given = [(1, "j0", "a-gone", "w1", 1, 200, None, None, None, None),      # of an attempt that is not open
+             (2, "j0", "a-older", "w1", 2, 503, None, "busy", None, None),   # the first that counts
+             (3, "j0", "a-j0", "w1", 3, 200, None, None, None, None),
+             (4, "j1", None, "w1", 4, 200, None, None, None, None),
+             (5, "j1", "a-j0", "w1", 5, 200, None, None, None, None),        # another job's attempt
+             (6, "j2", "a-j2", "w2", 6, 200, None, None, None, None),        # not the owner
+             (7, "j3", "a-j3", "w1", 7, None, None, None, "timeout", "context deadline exceeded")]
+    reports = execution.execution_outcomes(spark.createDataFrame(given, _REPORTS))
+    change = execution.finish(jobs, attempts.union(older), reports, NOW).materialize()
+    settled = {a["attempt_id"]: a for a in rows(change.attempts)}
+    assert {k: (a["status"], a["error_code"], a["execution_duration_ms"]) for k, a in settled.items()} == {
+        "a-older": ("FAILED", "WEBHOOK_HTTP_ERROR", 2), "a-j3": ("FAILED", "TIMEOUT", 7)}
+    assert settled["a-older"]["result"] == '{"duration_ms":2,"response_excerpt":"busy","response_truncated":false,"status_code":503}'
+    assert settled["a-j3"]["result"] is None and settled["a-j3"]["error_message"] == "context deadline exceeded"
+    assert sorted(r.outcome_id for r in change.rejects.collect()) == [1, 3, 4, 5, 6]
+
+
+def test_error_kinds_and_excerpts(spark):
+    given = [(i, "j", "a", "w", 9, None, "60", None, kind, f"it was {kind}") for i, kind in enumerate([*S.ERROR_KINDS, "other"])]
+    given += [(20, "j", "a", "w", 9, 200, None, "é" * 2049, None, None), (21, "j", "a", "w", 9, 200, None, "x" * 4096, None, None),
+              (22, "j", "a", "w", 9, None, None, None, None, None)]
+    found = {r.outcome_id: r for r in execution.execution_outcomes(spark.createDataFrame(given, _REPORTS)).collect()}
+    for i, (code, again) in enumerate([*S.ERROR_KINDS.values(), S.OTHER_ERROR]):
+        assert (found[i].succeeded, found[i].error_code, found[i].retryable, found[i].retry_after_seconds, found[i].result) == (False, code, again, 0, None)
+        assert found[i].message.startswith("it was")
+    long, exact = (json.loads(found[i].result) for i in (20, 21))
+    assert long["response_truncated"] and long["response_excerpt"] == "é" * 2048
+    assert not exact["response_truncated"] and len(exact["response_excerpt"]) == 4096
+    assert (found[22].error_code, found[22].result) == ("WEBHOOK_NETWORK_ERROR", None)
+
+
 def test_finish_failures(spark):
     jobs, attempts = running(spark, {}, dict(retry_count=3), {}, {})
     reported = outcomes(spark, (1, "j0", "w1", 503, None, 5), (2, "j1", "w1", 503, "60", 5), (3, "j2", "w1", 400, None, 5),

@@ -296,6 +296,28 @@ def http_outcome(status: Column, retry_after: Column) -> Column:
     )
 
 
+def execution_outcome(kind: Column, status: Column, retry_after: Column, message: Column) -> Column:
+    """The same struct for an execution: an error of ``kind`` with its message, or the response's outcome where kind is null."""
+    by_kind = list(S.ERROR_KINDS.items())
+
+    def of(index: int) -> Column:
+        other = F.lit(S.OTHER_ERROR[index])
+        return reduce(lambda expr, item: expr.when(kind == item[0], F.lit(item[1][index])), by_kind[1:],
+                      F.when(kind == by_kind[0][0], F.lit(by_kind[0][1][index]))).otherwise(other)
+
+    failed = F.struct(F.lit(False).alias("succeeded"), of(0).alias("error_code"), of(1).alias("retryable"), message.alias("message"),
+                      F.lit(0).alias("retry_after_seconds"))
+    return F.when(kind.isNotNull(), failed).otherwise(http_outcome(status, retry_after))
+
+
+def attempt_result(status: Column, duration_ms: Column, body: Column) -> Column:
+    """What an attempt keeps of a response, as JSON: null without one. At most the excerpt's bytes of the body are kept."""
+    text = F.coalesce(body, F.lit(""))
+    kept = F.struct(duration_ms.cast("bigint").alias("duration_ms"), clip_bytes(text, S.EXCERPT_BYTES).alias("response_excerpt"),
+                    is_clipped(text, S.EXCERPT_BYTES).alias("response_truncated"), status.cast("int").alias("status_code"))
+    return F.when(status.isNotNull(), F.to_json(kept, {"ignoreNullFields": "false"}))
+
+
 # --- text, keys and roles -----------------------------------------------------------------
 
 

@@ -91,3 +91,15 @@ def obey(command: str, status: str | None) -> str | None:
     """The status after ``command``, or None when it is refused."""
     target, sources = COMMANDS.get(command, (None, ()))
     return target if status in sources and may_move(status, target) else None
+
+# What an execution that brought no response is reported as: error code, and whether it may be retried. Fixed values.
+ERROR_KINDS = {
+    "timeout": ("TIMEOUT", True),
+    "cancelled": ("CANCELLED", True),
+    "network": ("WEBHOOK_NETWORK_ERROR", True),
+    "read": ("WEBHOOK_READ_ERROR", True),
+    "build": ("REQUEST_BUILD_FAILED", False),
+    "method": ("INVALID_METHOD", False),
+    "target": ("UNSAFE_WEBHOOK_TARGET", False),
+}
+OTHER_ERROR = ("HANDLER_ERROR", True)

@@ -84,6 +84,19 @@ def webhook_outcomes(outcomes: DataFrame) -> DataFrame:
     ).select(*outcomes.columns, "__result.*")
 
 
+def execution_outcomes(reports: DataFrame) -> DataFrame:
+    """Turn reports of executions into what ``finish`` takes.
+
+    ``reports`` has outcome_id, job_id, attempt_id, worker_id, duration_ms, http_status, retry_after, body, and for executions that
+    brought no whole response error_kind (see ``states.ERROR_KINDS``) and error_message. What is kept of the response is in ``result``.
+    """
+    kind = F.col("error_kind")
+    outcome = R.execution_outcome(kind, F.col("http_status"), F.col("retry_after"), F.col("error_message"))
+    result = F.when(kind.isNull(), R.attempt_result(F.col("http_status"), F.col("duration_ms"), F.col("body")))
+    return reports.withColumns({"__outcome": outcome, "result": result}).select(
+        "outcome_id", "job_id", "attempt_id", "worker_id", "duration_ms", "__outcome.*", "result")
+
+
 def _open_attempts(attempts: DataFrame) -> DataFrame:
     """One open attempt per (job, worker): the newest, should a released claim have left an older one open."""
     running = attempts.filter(F.col("status") == S.RUNNING)
@@ -98,23 +111,30 @@ def finish(jobs: DataFrame, attempts: DataFrame, outcomes: DataFrame, as_of: R.I
     """Settle reported outcomes: success, retry or dead letter.
 
     ``outcomes`` has outcome_id, job_id, worker_id, duration_ms, succeeded, error_code, retryable,
-    message, retry_after_seconds. A report counts only when its worker still owns the RUNNING job and
-    has an open attempt; the first such report per job wins. ``guard=False`` overrides by job id alone.
+    message, retry_after_seconds, and may have attempt_id and result. A report counts only when its worker still owns the
+    RUNNING job and the attempt it names is an open one of the job - without attempt_id, when the worker has an open attempt, the
+    newest; the first such report per job wins. ``guard=False`` overrides by job id alone.
     """
     now = R.instant_like(as_of, jobs, "run_at")
     # An outcome that does not say it succeeded has failed.
     outcomes = outcomes.withColumn("succeeded", F.coalesce("succeeded", F.lit(False)))
     if guard:
         owned = jobs.filter((F.col("status") == S.RUNNING) & F.col("locked_by").isNotNull())
-        applied, _ = guarded_join(
-            outcomes, owned, {"job_id": "job_id", "worker_id": "locked_by"}, "outcome_id", base_alias="job"
-        )
-        opened = _open_attempts(attempts)
-        applied = applied.join(
-            opened, (F.col("job_id") == F.col("__job")) & (F.col("worker_id") == F.col("__worker"))
-        ).drop("__job", "__worker")
+        keys = {"job_id": "job_id", "worker_id": "locked_by"}
+        if "attempt_id" in outcomes.columns:
+            # Reports of attempts that are not open are out before the first one per job is taken.
+            opened = attempts.filter(F.col("status") == S.RUNNING).select(
+                F.col("attempt_id").alias("__attempt"), F.col("job_id").alias("__job"))
+            named = outcomes.join(opened, (F.col("attempt_id") == F.col("__attempt")) & (F.col("job_id") == F.col("__job")))
+            applied, _ = guarded_join(named.drop("__attempt", "__job"), owned, keys, "outcome_id", base_alias="job")
+        else:
+            applied, _ = guarded_join(outcomes, owned, keys, "outcome_id", base_alias="job")
+            opened = _open_attempts(attempts)
+            applied = applied.join(
+                opened, (F.col("job_id") == F.col("__job")) & (F.col("worker_id") == F.col("__worker"))
+            ).drop("__job", "__worker")
     else:
-        applied, _ = guarded_join(outcomes, jobs, {"job_id": "job_id"}, "outcome_id", base_alias="job")
+        applied, _ = guarded_join(outcomes.drop("attempt_id"), jobs, {"job_id": "job_id"}, "outcome_id", base_alias="job")
         latest = attempts.filter(F.col("status") == S.RUNNING).groupBy("job_id").agg(
             F.max_by("attempt_id", F.struct("started_at", "attempt_id")).alias("attempt_id")
         )

@@ -280,6 +280,71 @@ def _(v):
     return _finished(v).rejects.select("job_id", "worker_id", "http_status", "reason")
 
 
+# Reports that name their attempt, with what is kept of the response.
+_REPORTED = f"""valid AS (
+  SELECT j.*, r.outcome_id, r.attempt_id, r.duration_ms, r.http_status, r.error_kind, r.error_message, r.body, a.attempt_number, a.started_at,
+         a.worker_id, trim(r.retry_after) AS header, row_number() OVER (PARTITION BY j.job_id ORDER BY r.outcome_id) AS turn
+  FROM v_reports r JOIN v_jobs j ON r.job_id = j.job_id AND r.worker_id = j.locked_by AND j.status = 'RUNNING'
+  JOIN v_all_open_attempts a ON r.attempt_id = a.attempt_id AND r.job_id = a.job_id),
+named AS (
+  SELECT *, error_kind IS NULL AND http_status IS NOT NULL AND http_status BETWEEN 200 AND 299 AS ok,
+    CASE WHEN error_kind IS NOT NULL THEN error_message WHEN http_status IS NULL THEN 'webhook gave no response'
+         WHEN http_status NOT BETWEEN 200 AND 299 THEN concat('webhook returned HTTP ', http_status) END AS message,
+    CASE WHEN error_kind = 'timeout' THEN 'TIMEOUT' WHEN error_kind = 'cancelled' THEN 'CANCELLED' WHEN error_kind = 'build' THEN 'REQUEST_BUILD_FAILED'
+         WHEN error_kind = 'read' THEN 'WEBHOOK_READ_ERROR' WHEN error_kind IS NOT NULL THEN 'HANDLER_ERROR'
+         WHEN http_status IS NULL THEN 'WEBHOOK_NETWORK_ERROR' WHEN http_status NOT BETWEEN 200 AND 299 THEN 'WEBHOOK_HTTP_ERROR' END AS error_code,
+    CASE WHEN error_kind IS NOT NULL THEN error_kind <> 'build' WHEN http_status IS NULL THEN true
+         WHEN http_status NOT BETWEEN 200 AND 299 THEN http_status IN (408, 429) OR http_status >= 500 END AS retryable,
+    CASE WHEN error_kind IS NULL THEN greatest(0, least(900, coalesce(TRY_CAST(header AS INT), 0))) ELSE 0 END AS wait_s,
+    CASE WHEN error_kind IS NULL AND http_status IS NOT NULL THEN concat('{{"duration_ms":', duration_ms, ',"response_excerpt":',
+      to_json(left(coalesce(body, ''), 4096)), ',"response_truncated":', length(coalesce(body, '')) > 4096, ',"status_code":', http_status, '}}') END AS result
+  FROM valid WHERE turn = 1),
+finished AS (SELECT *, NOT ok AND (NOT retryable OR retry_count + 1 > max_retries) AS dead FROM named)"""
+_REPORTS = ("v_jobs", "v_reports", "v_all_open_attempts")
+
+
+def _settled(v):
+    return execution.finish(v.jobs, v.all_open_attempts, execution.execution_outcomes(v.reports), NOW)
+
+
+@query("settle_jobs", f"""
+SELECT job_id, tenant_id, name, job_type, CASE WHEN ok THEN 'SUCCEEDED' WHEN dead THEN 'DEAD_LETTERED' ELSE 'RETRY_SCHEDULED' END AS status,
+       priority, CASE WHEN ok OR dead THEN run_at WHEN wait_s > 0 THEN {_after("wait_s")} ELSE {_after(_DELAY)} END AS run_at,
+       created_at, CAST(CASE WHEN ok THEN retry_count ELSE retry_count + 1 END AS BIGINT) AS retry_count, max_retries, retry_backoff_seconds,
+       timeout_seconds, {_UNLOCKED}, CASE WHEN NOT ok THEN message END AS last_error, CASE WHEN ok THEN {JOBS_NOW} END AS completed_at,
+       CASE WHEN NOT ok THEN {JOBS_NOW} END AS failed_at, {JOBS_NOW} AS updated_at
+FROM finished""", _REPORTS, _REPORTED)
+def _(v):
+    """Jobs after the reports that name their attempt, all columns."""
+    return _settled(v).jobs
+
+
+@query("settle_attempts", f"""
+SELECT attempt_id, job_id, tenant_id, worker_id, attempt_number, CASE WHEN ok THEN 'SUCCEEDED' ELSE 'FAILED' END AS status, started_at,
+       CASE WHEN ok THEN {JOBS_NOW} END AS completed_at, CASE WHEN NOT ok THEN {JOBS_NOW} END AS failed_at,
+       CASE WHEN NOT ok THEN message END AS error_message, error_code, CASE WHEN NOT ok THEN retryable END AS retryable,
+       duration_ms AS execution_duration_ms, result
+FROM finished""", _REPORTS, _REPORTED)
+def _(v):
+    """The attempts settled, with what is kept of the response."""
+    return _settled(v).attempts
+
+
+@query("settle_dead_letters", f"""
+SELECT job_id AS original_job_id, tenant_id, name, job_type, message AS final_error, CAST(retry_count + 1 AS BIGINT) AS retry_count,
+       {JOBS_NOW} AS failed_at FROM finished WHERE dead""", _REPORTS, _REPORTED)
+def _(v):
+    return _settled(v).dead_letters.select(*_LETTER).withColumn("retry_count", F.col("retry_count").cast("long"))
+
+
+@query("settle_rejects", """
+SELECT r.outcome_id, r.job_id, r.attempt_id, r.worker_id, 'CONFLICT' AS reason
+FROM v_reports r WHERE r.outcome_id NOT IN (SELECT outcome_id FROM finished)""", _REPORTS, _REPORTED)
+def _(v):
+    """Reports that came late, twice, or from a worker that does not own the job."""
+    return _settled(v).rejects.select("outcome_id", "job_id", "attempt_id", "worker_id", "reason")
+
+
 @query("compat_updates", f"""
 SELECT j.job_id, CASE WHEN o.ok THEN 'SUCCEEDED' WHEN NOT o.again OR j.retry_count + 1 > j.max_retries THEN 'DEAD_LETTERED'
             ELSE 'RETRY_SCHEDULED' END AS status,

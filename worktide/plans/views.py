@@ -56,6 +56,29 @@ SELECT job_id, CASE WHEN job_id % 7 = 0 THEN 'worker-stale' ELSE locked_by END A
        CASE WHEN CAST(FLOOR(job_id / 5.0) AS BIGINT) % 5 = 2 THEN CASE job_id % 3 WHEN 0 THEN ' 120 ' WHEN 1 THEN '5000' ELSE 'soon' END END AS retry_after,
        job_id % 1000 AS duration_ms
 FROM {v_jobs} WHERE status = 'RUNNING'""",
+    # Claims that were given back have left older attempts open.
+    "v_all_open_attempts": """
+SELECT * FROM {v_open_attempts}
+UNION ALL
+SELECT -job_id AS attempt_id, job_id, tenant_id, worker_id, attempt_number, status, started_at - INTERVAL '1' HOUR AS started_at
+FROM {v_open_attempts} WHERE job_id % 6 = 0""",
+    # Reports that name their attempt: of every job, again with another outcome, late for an attempt long gone, and by others.
+    "v_reports": """
+WITH numbered AS (SELECT *, CAST(FLOOR(job_id / 5.0) AS BIGINT) % 9 AS kind FROM {v_jobs} WHERE status = 'RUNNING'),
+told AS (
+  SELECT job_id * 4 AS outcome_id, job_id, CASE WHEN job_id % 12 = 0 THEN -job_id WHEN job_id % 13 = 0 THEN 1000000000 + job_id ELSE job_id END AS attempt_id,
+         CASE WHEN job_id % 7 = 0 THEN 'worker-stale' ELSE locked_by END AS worker_id, kind FROM numbered
+  UNION ALL
+  SELECT job_id * 4 + 1, job_id, job_id, locked_by, 4 FROM numbered WHERE job_id % 3 = 0
+  UNION ALL
+  SELECT job_id * 4 - 1, job_id, CAST(NULL AS BIGINT), locked_by, 4 FROM numbered WHERE job_id % 5 = 0)
+SELECT outcome_id, job_id, attempt_id, worker_id, job_id % 1000 AS duration_ms,
+       CASE kind WHEN 0 THEN 200 WHEN 1 THEN 503 WHEN 2 THEN 429 WHEN 3 THEN 400 WHEN 4 THEN 204 END AS http_status,
+       CASE WHEN kind = 2 THEN CASE job_id % 3 WHEN 0 THEN ' 120 ' WHEN 1 THEN '5000' ELSE 'soon' END END AS retry_after,
+       CASE kind WHEN 0 THEN repeat('all "fine" ', CAST(1 + job_id % 600 AS INT)) WHEN 1 THEN concat('busy ', CAST(job_id AS STRING)) END AS body,
+       CASE kind WHEN 6 THEN 'timeout' WHEN 7 THEN CASE job_id % 3 WHEN 0 THEN 'build' WHEN 1 THEN 'cancelled' ELSE 'read' END WHEN 8 THEN 'panic' END AS error_kind,
+       CASE WHEN kind >= 6 THEN concat('failed: ', CAST(kind AS STRING)) END AS error_message
+FROM told""",
     "v_dead_letters": """
 SELECT job_id AS dead_letter_id, job_id AS original_job_id, tenant_id, name, job_type,
        'webhook returned HTTP 503' AS final_error, retry_count + 1 AS retry_count, run_at AS failed_at,
