@@ -1,9 +1,13 @@
 """Alignment of two tokenizers over the same bytes, and how often their tokens stand for the same bytes.
 
-Per text: the byte offsets at which tokens end form one sorted list for each tokenizer. The shorter list drives the
-search: each of its ends is sought in the longer one from where the last one was found, in doubling steps, then by
-binary search between the last two steps (galloping). The ends both have cut the tokens into groups: the ranks of an end
-in its two lists, less those of the end before, are the ranges of tokens that overlap.
+The byte offsets at which tokens end form one sorted list for each tokenizer. The shorter list drives the search:
+each of its ends is sought in the longer one from where the last one was found, in doubling steps, then by binary
+search between the last two steps (galloping). The ends both have cut the tokens into groups: the ranks of an end in its
+two lists, less those of the end before, are the ranges of tokens that overlap.
+
+No token of either tokenizer goes on over a space that follows something else than white space. Texts are cut there, and a
+task keeps a table of the distinct chunks it has met, so that each is encoded once. Tokenizers of other kinds, and texts
+that hold the piece model's own marker, are encoded as a whole.
 
 Per corpus: texts are taken in blocks of about ``BLOCK_BYTES``. A block is one row of its distinct linked id pairs with
 the number of its texts that hold each, and a row per text with places in that list. Only the blocks' lists
@@ -19,10 +23,12 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import re
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from worktide.llm.common import scratch, whole
-from worktide.llm.pieces import MARKER, ChunkTable, Segmenter
+from worktide.llm.pieces import LONGEST_CHUNK, MARKER, TABLE_CHUNKS, TEXTS_AT_ONCE, Segmenter, view
 
 #: Bytes of text to a block; a longer text is a block of its own.
 BLOCK_BYTES = 8 << 20
@@ -46,76 +52,61 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
 
 
-class Bytes:
-    """What a token stands for: ``bytes_of`` by id."""
-
-    bytes_of: list[bytes]
-
-    def join(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-
-
-class ByteLevel(Bytes):
-    """A byte-level tokenizer (a tokenizer file's content). Its words never go on before white space that follows
-    something else, so that texts are cut there."""
+class ByteLevel:
+    """A byte-level tokenizer (a tokenizer file's content)."""
 
     def __init__(self, definition: str):
         import tokenizers
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = tokenizers.Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         parts = json.loads(definition)
         before = parts.get("pre_tokenizer") or {}
+        # Its words then never go on before white space, and its tokens are the text's bytes.
         self.by_chunk = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
                          and parts.get("normalizer") is None)
-        plain = "\n\t\r "
-        self.chunks_of = re.compile(rf"[\s{_ODD}]*[^\s{_ODD}]+(?:(?![{plain}])[\s{_ODD}]+[^\s{_ODD}]*)*|[\s{_ODD}]+").findall
         table = _byte_of_char()
-        size = self.tokenizer.get_vocab_size()
-        spelled = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        spelled = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.bytes_of = [bytes(table[c] for c in p) if all(c in table for c in p) else p.encode() for p in spelled]
 
-    def chunks(self, text: str) -> list[str]:
-        return self.chunks_of(text) if self.by_chunk else [text]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def segment(self, chunk: str) -> list[int]:
-        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
-
-
-class FaithfulTable(ChunkTable):
-    """Also whether the bytes of a chunk's tokens are the chunk's."""
-
-    def __init__(self, tokens: ByteLevel | Pieces):
-        self.tokens = tokens
-        super().__init__(tokens.segment)
-
-    def empty(self) -> None:
-        self.good = array("b")
-        super().empty()
 
-    def __missing__(self, chunk: str) -> int:
-        row = super().__missing__(chunk)
-        ids = self.flat[self.starts[row]:]
-        self.good.append(self.tokens.join(np.array(ids, dtype=np.int64)) == chunk.replace(MARKER, " ").encode())
-        return row
-
-
-class Pieces(Segmenter, Bytes):
+class Pieces(Segmenter):
     """A piece model with the bytes of its pieces."""
 
     def __init__(self, model: bytes):
         super().__init__(model)
         sp = self.model
-        self.bytes_of = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(MARKER, " ").encode()
-                         for i, p in ((i, sp.id_to_piece(i)) for i in range(sp.get_piece_size()))]
+        every = range(sp.get_piece_size())
+        self.bytes_of = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(MARKER, " ").encode() for i, p in ((i, sp.id_to_piece(i)) for i in every)]
+        # With a piece for every byte, the tokens of a text without markers are its bytes.
+        self.by_chunk = self.by_chunk and sum(map(sp.is_byte, every)) == 256
+
+    def encode(self, chunks: list[str]) -> list[list[int]]:
+        """The ids of chunks that start with a space, as inside a text."""
+        skip = len(self.sentinel)
+        return [ids[skip:] for ids in self.model.encode(["\n" + c.replace(" ", MARKER) for c in chunks])]
 
 
-def common_ends(shorter: list[int], longer: list[int]) -> tuple[list[int], list[int]]:
+def common_ends(shorter: list[int], longer: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """The ranks in both lists, from 0, of the values both have. Both ascend; the shorter should come first."""
-    ours, theirs, at, n = [], [], 0, len(longer)
+    at, n = 0, len(longer)
     longer = [*longer, math.inf]
+    # Values found side by side are kept as one run: where it starts in both lists, and where it ends in the shorter.
+    runs, begun, side = [], -1, 0
     for rank, end in enumerate(shorter):
         value = longer[at]
+        if value == end:
+            if begun < 0:
+                begun, side = rank, at
+            at += 1
+            continue
+        if begun >= 0:
+            runs.append((begun, side, rank))
+            begun = -1
         if value < end:
             low, step = at + 1, 1
             high = low
@@ -123,12 +114,15 @@ def common_ends(shorter: list[int], longer: list[int]) -> tuple[list[int], list[
                 low, step = high + 1, step + step
                 high += step
             at = bisect_left(longer, end, low, min(high, n)) if low < high else low
-            value = longer[at]
-        if value == end:
-            ours.append(rank)
-            theirs.append(at)
-            at += 1
-    return ours, theirs
+            if longer[at] == end:
+                begun, side = rank, at
+                at += 1
+    if begun >= 0:
+        runs.append((begun, side, len(shorter)))
+    first, other, last = np.array(runs, np.int64).reshape(-1, 3).T
+    sizes = last - first
+    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.repeat(first, sizes) + within, np.repeat(other, sizes) + within
 
 
 def cut_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +131,7 @@ def cut_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.n
         a, b = common_ends(a_ends.tolist(), b_ends.tolist())
     else:
         b, a = common_ends(b_ends.tolist(), a_ends.tolist())
-    return np.array([-1, *a]) + 1, np.array([-1, *b]) + 1
+    return np.concatenate([[0], a + 1]), np.concatenate([[0], b + 1])
 
 
 def spelled(size: int) -> list[str]:
@@ -152,8 +146,8 @@ def spell_groups(a_ids: np.ndarray, b_ids: np.ndarray, a_cuts: np.ndarray, b_cut
     order = np.empty(len(a_ids) + len(b_ids), np.int64)
     a_marks, b_marks = np.zeros(len(a_ids), np.int64), np.zeros(len(b_ids), np.int64)
     a_marks[a_cuts[1:] - 1], b_marks[b_cuts[1:] - 1] = 1, 2
-    order[np.arange(len(a_ids)) + b_cuts[a_group]] = a_ids.astype(np.int64) * 3 + a_marks
-    order[np.arange(len(b_ids)) + a_cuts[b_group + 1]] = b_ids.astype(np.int64) * 3 + b_marks
+    order[np.arange(len(a_ids)) + b_cuts[a_group]] = a_ids * 3 + a_marks
+    order[np.arange(len(b_ids)) + a_cuts[b_group + 1]] = b_ids * 3 + b_marks
     return "".join(map(names.__getitem__, order.tolist()))[:-1]
 
 
@@ -161,54 +155,89 @@ def link_pairs(a_ids: np.ndarray, b_ids: np.ndarray, a_cuts: np.ndarray, b_cuts:
     """The distinct linked pairs (a * width + b), ascending, and how many links each has."""
     na, nb = np.diff(a_cuts), np.diff(b_cuts)
     links = na * nb
-    large = np.flatnonzero(links > PLAIN_LINKS)
     small = np.where(links > PLAIN_LINKS, 0, links)
     group = np.repeat(np.arange(len(links)), small)
     within = np.arange(len(group)) - np.repeat(np.cumsum(small) - small, small)
-    a = a_ids[a_cuts[group] + within // nb[group]].astype(np.int64)
-    b = b_ids[b_cuts[group] + within % nb[group]].astype(np.int64)
+    a = a_ids[a_cuts[group] + within // nb[group]]
+    b = b_ids[b_cuts[group] + within % nb[group]]
     pairs, times = np.unique(a * width + b, return_counts=True)
-    if not len(large):
+    large = np.flatnonzero(links > PLAIN_LINKS).tolist()
+    if not large:
         return pairs, times
     pairs, times = [pairs], [times]
-    for g in large.tolist():
+    for g in large:
         x, n = np.unique(a_ids[a_cuts[g]:a_cuts[g + 1]], return_counts=True)
         y, m = np.unique(b_ids[b_cuts[g]:b_cuts[g + 1]], return_counts=True)
-        pairs.append((x.astype(np.int64)[:, None] * width + y).ravel())
+        pairs.append((x[:, None] * width + y).ravel())
         times.append((n[:, None] * m).ravel())
     pairs, at = np.unique(np.concatenate(pairs), return_inverse=True)
     return pairs, np.bincount(at, np.concatenate(times)).astype(np.int64)
 
 
-class Aligner:
-    """Token ids and byte ends of both tokenizers for one text, from tables of distinct chunks."""
+class Aligner(dict):
+    """Chunk to row of a table of encoded chunks; row r has ``flat[k][starts[k][r]:starts[k][r + 1]]`` as ids of side k."""
 
     def __init__(self, definition: str, model: bytes):
-        self.sides = []
-        for tokens in (ByteLevel(definition), Pieces(model)):
-            self.sides.append((tokens, FaithfulTable(tokens), np.array([len(x) for x in tokens.bytes_of])))
-        self.width = len(self.sides[1][0].bytes_of)
-        self.names = spelled(max(len(side[0].bytes_of) for side in self.sides))
-
-    def tokens(self, texts: list[str]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
-        """Per text: the ids of A and B, and the ends of A and B; no ids where the bytes differ from the text's."""
-        none, sides = np.zeros(0, np.int64), []
-        for k, (tokens, table, sizes) in enumerate(self.sides):
-            if table.full():
-                table.empty()
-            rows = [table.rows(tokens.chunks(t if k else " " + t)) if t else none for t in texts]
-            good = np.array(table.good, dtype=bool)
-            ids, counts = table.gather(np.concatenate([none, *rows]))
-            at = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, rows)])]
-            sides.append((tokens, sizes, ids, at, [bool(good[r].all()) for r in rows]))
-        for k, text in enumerate(texts):
-            found = [ids[at[k]:at[k + 1]] for _, _, ids, at, _ in sides]
-            # A text's own marker would pass for a space in its chunks.
-            sure = MARKER not in text and all(side[4][k] for side in sides)
-            if text and (sure or all(tokens.join(ids) == (" " + text).encode() for (tokens, *_), ids in zip(sides, found, strict=True))):
-                yield found, [np.cumsum(sizes[ids]) for (_, sizes, *_), ids in zip(sides, found, strict=True)]
-            else:
-                yield [ids[:0] for ids in found], [none, none]
+        super().__init__()
+        self.a, self.b = ByteLevel(definition), Pieces(model)
+        self.sizes = [np.array([len(x) for x in side.bytes_of]) for side in (self.a, self.b)]
+        self.width = len(self.b.bytes_of)
+        self.names = spelled(max(map(len, self.sizes)))
+        self.by_chunk = self.a.by_chunk and self.b.by_chunk
+        # White space, what stands after it, and white space other than a space that stands after that.
+        self.chunks_of = re.compile(rf"[\s{_ODD}]*[^\s{_ODD}]+(?:(?! )[\s{_ODD}]+[^\s{_ODD}]*)*|[\s{_ODD}]+").findall
+        self.empty()
+
+    def empty(self) -> None:
+        self.clear()
+        self.flat, self.starts = [array("i"), array("i")], [array("q", [0]), array("q", [0])]
+
+    def _add(self, *sides: list[list[int]]) -> range:
+        """The rows that now have the ids, a list of lists for each side."""
+        first = len(self.starts[0]) - 1
+        for lists, flat, starts in zip(sides, self.flat, self.starts, strict=True):
+            starts.extend(islice(accumulate(map(len, lists), initial=len(flat)), 1, None))
+            flat.extend(chain.from_iterable(lists))
+        return range(first, first + len(sides[0]))
+
+    def _whole(self, text: str) -> Sequence[int]:
+        """The row of a text encoded as a whole, if the bytes of its tokens are its own."""
+        a_ids, b_ids = self.a.encode([" " + text])[0], self.b.model.encode(text)
+        want = (" " + text).encode()
+        same = all(b"".join([side.bytes_of[i] for i in ids]) == want for side, ids in ((self.a, a_ids), (self.b, b_ids)))
+        return self._add([a_ids], [b_ids]) if same else ()
+
+    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per text the ids of A and of B; none where their bytes differ from the text's."""
+        if len(self.starts[0]) > TABLE_CHUNKS:
+            self.empty()
+        cut = [self.chunks_of(" " + t) if t and self.by_chunk and MARKER not in t else None for t in texts]
+        new = [c for c in set(chain.from_iterable(filter(None, cut))) if c not in self]
+        for start in range(0, len(new), 4096):
+            some = new[start:start + 4096]
+            self.update(zip(some, self._add(self.a.encode(some), self.b.encode(some)), strict=True))
+        rows = [list(map(self.__getitem__, c)) if c else self._whole(t) if t else () for t, c in zip(texts, cut, strict=True)]
+        for chunk in new:
+            if len(chunk) > LONGEST_CHUNK:
+                del self[chunk]
+        at = np.fromiter(chain.from_iterable(rows), np.int64)
+        ends = np.cumsum([0, *map(len, rows)])
+        sides = []
+        for flat, starts in zip(map(view, self.flat), map(view, self.starts), strict=True):
+            counts = starts[at + 1] - starts[at]
+            total = np.concatenate([[0], np.cumsum(counts)])
+            places = np.repeat(starts[at] - total[:-1], counts) + np.arange(total[-1])
+            sides.append((flat[places].astype(np.int64), total[ends]))
+        del flat, starts  # no view may be open when the table grows
+        for k in range(len(texts)):
+            yield tuple(ids[at[k]:at[k + 1]] for ids, at in sides)
+
+    def align(self, texts: list[str]) -> Iterator[tuple]:
+        """Per text: n_a, n_b, n_groups, n_links, groups, pairs (ascending), times."""
+        for a_ids, b_ids in self.tokens(texts):
+            cuts = cut_groups(np.cumsum(self.sizes[0][a_ids]), np.cumsum(self.sizes[1][b_ids]))
+            pairs, times = link_pairs(a_ids, b_ids, *cuts, self.width)
+            yield len(a_ids), len(b_ids), len(cuts[0]) - 1, int(times.sum()), spell_groups(a_ids, b_ids, *cuts, self.names), pairs, times
 
 
 _TEXT = "n_a long, n_b long, n_groups long, n_links long, groups string"
@@ -253,15 +282,12 @@ def align(docs: DataFrame, definition: str, model: bytes, key: str = "doc_id", t
             yield from table.to_batches(max_chunksize=2000)
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                piece = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                piece = batch.slice(start, TEXTS_AT_ONCE)
                 part = piece.column("part")[0].as_py()
                 texts = piece.column("text").to_pylist()
-                for k, (ids, ends) in enumerate(aligner.tokens(texts)):
-                    a_cuts, b_cuts = cut_groups(*ends)
-                    pairs, times = link_pairs(*ids, a_cuts, b_cuts, aligner.width)
-                    waiting.append((piece.column("doc_id").slice(k, 1), len(ids[0]), len(ids[1]), len(a_cuts) - 1,
-                                    int(times.sum()), spell_groups(*ids, a_cuts, b_cuts, aligner.names), pairs, times))
+                for k, found in enumerate(aligner.align(texts)):
+                    waiting.append((piece.column("doc_id").slice(k, 1), *found))
                     held_bytes += len(texts[k])
                     if held_bytes >= block_bytes:
                         yield from flush()

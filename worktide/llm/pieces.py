@@ -27,14 +27,19 @@ from worktide.llm.common import whole
 
 MARKER = "▁"
 #: Distinct chunks a table may hold, and the ids they may have, before it is emptied; a longer chunk is not kept.
-TABLE_CHUNKS = 200_000
-TABLE_IDS = 2_000_000
+TABLE_CHUNKS = 400_000
+TABLE_IDS = 4_000_000
 LONGEST_CHUNK = 64
 #: Texts whose ids are gathered together.
 TEXTS_AT_ONCE = 200
 _PROBE = "\n  a\t ﬁ ①"
 
 
+def view(numbers: array) -> np.ndarray:
+    """The numbers without a copy; the array cannot grow while the view is there."""
+    return np.asarray(memoryview(numbers))
+
+
 class ChunkTable(dict):
     """Chunk to row; row r has the ids ``flat[starts[r]:starts[r] + sizes[r]]``. ``segment`` gives a chunk's ids."""
 
@@ -66,10 +71,10 @@ class ChunkTable(dict):
 
     def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the rows, joined, and how many each row has."""
-        starts, sizes = np.array(self.starts)[rows], np.array(self.sizes)[rows].astype(np.int64)
+        starts, sizes = view(self.starts)[rows], view(self.sizes)[rows].astype(np.int64)
         ends = np.cumsum(sizes)
         at = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return np.array(self.flat, dtype=np.int32)[at], sizes
+        return view(self.flat)[at], sizes
 
     def full(self) -> bool:
         return len(self.starts) > TABLE_CHUNKS or len(self.flat) > TABLE_IDS
