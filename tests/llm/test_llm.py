@@ -426,28 +426,78 @@ def test_items_with_an_altered_end_are_found(spark):
 def test_hamming_blocks_cover_the_radius():
     rng = np.random.default_rng(6)
     for _ in range(500):
-        flips = rng.choice(64, decontam.RADIUS, replace=False)
+        flips = rng.choice(decontam.BLOCKS * decontam.BLOCK_BITS, decontam.RADIUS, replace=False)
         assert min(collections.Counter(int(b) // decontam.BLOCK_BITS for b in flips).get(k, 0) for k in range(decontam.BLOCKS)) <= decontam.BLOCK_RADIUS
 
 
-def test_pipeline_finds_near_copies_by_similarity(spark):
-    import corpus_pipeline
-
-    rng, rows, dropped = np.random.default_rng(8), [], set()
-    for i in range(80):
-        words = [f"w{x}" for x in rng.zipf(1.3, 200) % 50000]
-        copy = [w if rng.random() >= 0.015 else f"new{i}" for w in words]
-        own, other = ({tuple(w[k:k + 5]) for k in range(196)} for w in (words, copy))
-        if len(own & other) / len(own | other) >= 0.8:
-            dropped.add(1000 + i)
-        rows += [(i, " ".join(words)), (1000 + i, " ".join(copy))]
-    base = [f"b{k}" for k in range(300)]
-    for i in range(60):  # one group, larger than a bucket that is compared in full
-        rows.append((2000 + i, " ".join([*base[:100 + i], f"own{i}", *base[101 + i:]])))
-    rows += [(3000, None), (3001, " "), (None, "no id")]
-    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
-    assert len(dropped) > 40
-    assert kept == {i for i, _ in rows} - dropped - set(range(2001, 2060)) - {3001}
+@pytest.mark.parametrize("seeds", [0, 20_000])
+def test_leaks_are_those_of_brute_force(spark, monkeypatch, seeds):
+    """Items of 2 to 60 words with words replaced, cut out and put in at random: the items found are those whose window passes."""
+    monkeypatch.setattr(decontam, "SEEDS_IN_PLAN", seeds)
+    rng = np.random.default_rng(21)
+    items = [[f"w{x}" for x in rng.zipf(1.4, n) % 3000] for n in [2, 4, *range(8, 61, 4)] for _ in range(3)]
+    docs = []
+    for i, words in enumerate(items):
+        copy = list(words)
+        for _ in range(int(rng.integers(0, 3))):
+            at, kind = int(rng.integers(len(copy))), int(rng.integers(3))
+            copy[at:at + (kind < 2)] = [] if kind == 0 and len(copy) > 2 else [f"new{rng.integers(9)}"]
+        docs.append((i, " ".join([*(f"f{rng.integers(50)}" for _ in range(30)), *copy, *(f"f{rng.integers(50)}" for _ in range(10))])))
+    docs.append((900, "w1 w2"))
+    shingles = [{tuple(w[k:k + min(5, len(w))]) for k in range(len(w) - min(5, len(w)) + 1)} for w in items]
+    known = [(w, s) for k, (w, s) in enumerate(zip(items, shingles, strict=True))]
+    df = collections.Counter(x for s in shingles for x in s)
+    unit = 1 << 40
+    weight = {x: round(math.log(1 + len(items) / n) * unit) for x, n in df.items()}
+    expected = set()
+    for key, text in docs:
+        words = text.split()
+        for item, (own, s) in enumerate(known):
+            sum_item, rarest = sum(weight[x] for x in s), max(weight[x] for x in s)
+            sizes = {len(w) for w in items if abs(len(w) - len(own)) <= len(own) * (1 - 0.8)}
+            for n in sizes:
+                size = min(5, n)
+                for start in range(len(words) - n + 1):
+                    win = words[start:start + n]
+                    have = {tuple(win[k:k + size]) for k in range(n - size + 1)}
+                    both = sum(weight[x] for x in have & s)
+                    if both and both / max(sum_item, both + (len(have) - len(have & s)) * rarest) >= 0.8:
+                        expected.add((key, item))
+    found = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                           spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == expected and len(expected) > 30
+
+
+def test_the_hamming_index_finds_all_within_the_radius(spark):
+    rng = np.random.default_rng(7)
+    items = [[f"w{x}" for x in rng.integers(0, 4000, n)] for n in range(15, 60)]
+    copies = [w[:-max(1, len(w) // 12)] + [f"new{k}" for k in range(max(1, len(w) // 12))] for w in items] + [[f"o{x}" for x in rng.integers(0, 4000, 30)] for _ in range(50)]
+    table = decontam.item_table(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"))
+    windows = spark.createDataFrame([(i, w, len(w)) for i, w in enumerate(copies)], "win long, words array<string>, n int")
+    for half, name in enumerate(("low", "high")):
+        windows = windows.withColumn(name, decontam.fingerprint(windows["words"], half))
+    found = {(r["win"], r["entry"]["item_id"]) for r in decontam.hamming_pairs(windows, table).collect()}
+    marks = {r["item_id"]: (r["low"], r["high"]) for r in table.select("item_id", *[decontam.fingerprint(table["words"], h).alias(c) for h, c in enumerate(("low", "high"))]).collect()}
+    mask = (1 << 64) - 1
+    expected = {(r["win"], i) for r in windows.collect() for i, (low, high) in marks.items()
+                if abs(r["n"] - len(items[i])) <= 0.2 * len(items[i]) + 1e-9
+                and ((r["low"] ^ low) & mask).bit_count() + ((r["high"] ^ high) & mask).bit_count() <= decontam.RADIUS}
+    assert found == expected and sum((i, i) in found for i in range(len(items))) >= 0.9 * len(items)
+
+
+def test_a_footer_that_is_the_longest_line_goes(spark):
+    footer = "the site's footer that is longer than any line of its pages " * 3
+    df = spark.createDataFrame([(i, "\n".join(" ".join(f"p{i}x{k}w{j}" for j in range(9)) for k in range(12)) + "\n" + footer, "h") for i in range(300)],
+                               "doc_id long, text string, source string")
+    assert all(r["removed_lines"] == 1 and r["kept"] for r in quality.quality_report(df).collect())
+    few = quality.quality_report(df, min_documents=1, host_share=2.0, max_documents=299).collect()
+    assert all(r["removed_lines"] == 1 for r in few) and not any(r["removed_lines"] for r in quality.quality_report(df, host_share=2.0).collect())
+
+
+def test_texts_that_share_an_id_are_kept_apart(spark):
+    rows = [(1, " ".join(f"a{k}" for k in range(60))), (1, " ".join(f"b{k}" for k in range(60))), (2, " ".join(f"a{k}" for k in range(60))), (3, None), (4, "")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], (r["text"] or "")[:2]) for r in kept) == [(1, "a0"), (1, "b0"), (3, "")]
 
 
 def test_pipeline(spark, docs, nothing):

@@ -1,9 +1,10 @@
 """Quality rules: base statistics per document, and lines that too many documents of a host share.
 
 Lines are normalised (lower case, white space folded) and hashed. Per host, the distinct documents of each line are
-counted; documents with the same longest line are copies of one page and count once, so that a page copied a thousand
-times is not taken for a site full of boilerplate. Lines above the limit are removed, and a document that loses more
-than half of its words so is rejected.
+counted; exact copies of a text count once. Lines above the limit are removed, and a document that loses more than half
+of its words so is rejected. The limit of a host is 5 % of its distinct documents, but 20 at least, so that a few pages of a small
+site are no evidence, and 5,000 at most, so that a line on very many pages goes however large the site is. Up to there
+the share tells what a site repeats from a text that it holds in many near copies, which a later stage has to judge.
 
 Null texts are empty (and fail the base rules), null hosts are one host, repeated rows get the same verdict, an empty
 table gives no rows, and other columns pass through whatever their names are.
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 
 from worktide.llm.common import SPACE, fence, free_name, repeat_word_count, saved, split_words, whole
 
-#: A line is boilerplate when more documents of its host than both of these hold it.
+#: A line is boilerplate when more documents of its host hold it than the share of them, within these bounds.
 MIN_DOCUMENTS = 20
 HOST_SHARE = 0.05
+MAX_DOCUMENTS = 5000
 #: Share of its words that a document may lose.
 MOST_REMOVED = 0.5
 #: The base rules.
@@ -35,33 +37,30 @@ def line_hash(line: Column) -> Column:
 
 
 def document_lines(rows: DataFrame, key: Column, host: Column, text: Column) -> DataFrame:
-    """One row per different document: (key, host, digest, page, hashes, sizes), the last two by line.
+    """One row per different document: (key, host, digest, hashes, sizes), the last two by line.
 
-    The longest line, the greatest of equally long ones, stands for the page. Checkpointed: the counts and the marks
-    both read it, and it is small beside the texts.
+    Checkpointed: the counts and the marks both read it, and it is small beside the texts.
     """
     body = rows.select(key.alias("key"), host.alias("host"), F.xxhash64(text).alias("digest"), lines_with_words(text).alias("lines"))
-    longest = F.array_max(F.transform("lines", lambda x: F.struct(F.length(x), x)))
-    return saved(body.select("key", "host", "digest", F.xxhash64(longest).alias("page"),
-                             F.transform("lines", line_hash).alias("hashes"),
+    return saved(body.select("key", "host", "digest", F.transform("lines", line_hash).alias("hashes"),
                              F.transform("lines", lambda x: F.size(split_words(x))).alias("sizes"))
                  .dropDuplicates(["key", "host", "digest"]))
 
 
-def frequent_lines(lines: DataFrame, min_documents: int = MIN_DOCUMENTS, host_share: float = HOST_SHARE) -> DataFrame:
+def frequent_lines(lines: DataFrame, min_documents: int = MIN_DOCUMENTS, host_share: float = HOST_SHARE, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """(host, line) of the lines above the limit. A hot line is combined before each shuffle."""
-    pages = lines.select("host", "page", F.explode(F.array_distinct("hashes")).alias("line")).distinct()
-    counts = pages.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > min_documents)
-    hosts = (lines.filter(F.size("hashes") > 0).select("host", "page").distinct()
-             .groupBy("host").agg((F.count("*") * host_share).alias("limit")))
+    texts = lines.filter(F.size("hashes") > 0).groupBy("host", "digest").agg(F.first("hashes").alias("hashes"))
+    each = texts.select("host", F.explode(F.array_distinct("hashes")).alias("line"))
+    counts = each.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > min_documents)
+    hosts = texts.groupBy("host").agg(F.least(F.count("*") * host_share, F.lit(float(max_documents))).alias("limit"))
     hosts = hosts.select(F.col("host").alias("host_"), "limit")
     return (counts.join(hosts, F.col("host").eqNullSafe(F.col("host_"))).filter(F.col("n") > F.col("limit"))
             .select("host", "line"))
 
 
-def marked_documents(lines: DataFrame, min_documents: int, host_share: float) -> DataFrame:
+def marked_documents(lines: DataFrame, min_documents: int, host_share: float, max_documents: int) -> DataFrame:
     """(at, removed_lines, removed_words, removed) for the documents that lose lines; at: (key, host, digest)."""
-    frequent = frequent_lines(lines, min_documents, host_share)
+    frequent = frequent_lines(lines, min_documents, host_share, max_documents)
     frequent = frequent.select(F.col("host").alias("host_"), F.col("line").alias("line_"))
     each = lines.select("key", "host", "digest", F.explode(F.arrays_zip("hashes", "sizes")).alias("x"))
     each = each.select("key", "host", "digest", F.col("x.hashes").alias("line"), F.col("x.sizes").alias("words"))
@@ -77,7 +76,7 @@ FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str = "doc_id", min_documents: int = MIN_DOCUMENTS,
-          host_share: float = HOST_SHARE, name: str = "quality", carry: list[str] | None = None) -> tuple[DataFrame, str]:
+          host_share: float = HOST_SHARE, max_documents: int = MAX_DOCUMENTS, name: str = "quality", carry: list[str] | None = None) -> tuple[DataFrame, str]:
     """The columns ``carry`` of ``docs`` (all when not given) with one more, a struct, and that column's name.
 
     Its fields are ``FIELDS`` and, when the text is carried, text: the text without the removed lines (null stays
@@ -86,7 +85,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", key: str =
     carry = docs.columns if carry is None else carry
     name, work, marks, at_ = (free_name(docs, x) for x in (name, "work_", "marks_", "at_"))
     body = whole(docs[text])
-    marked = marked_documents(document_lines(docs, docs[key], docs[host], body), min_documents, host_share)
+    marked = marked_documents(document_lines(docs, docs[key], docs[host], body), min_documents, host_share, max_documents)
     marked = marked.select(F.col("at").alias(at_), F.struct("removed_lines", "removed_words", *(["removed"] if text in carry else [])).alias(marks))
 
     rows = docs.withColumn(work, F.struct(body.alias("b")))

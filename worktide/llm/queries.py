@@ -42,12 +42,10 @@ n AS (SELECT doc_id, source, unnest(l) AS raw FROM d),
 norm AS (SELECT doc_id, source, lower(regexp_replace(trim(raw, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
            '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
          len(list_filter(regexp_split_to_array(raw, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words, raw FROM n),
-page AS (SELECT doc_id, raw AS page FROM (
-  SELECT doc_id, raw, row_number() OVER (PARTITION BY doc_id ORDER BY length(raw) DESC, raw DESC) AS r FROM n) WHERE r = 1),
-held AS (SELECT DISTINCT source, page, line FROM norm JOIN page USING (doc_id)),
-hosts AS (SELECT source, count(DISTINCT page) AS pages FROM held GROUP BY source),
+held AS (SELECT DISTINCT source, text, line FROM norm JOIN d USING (doc_id, source)),
+hosts AS (SELECT source, count(DISTINCT text) AS texts FROM held GROUP BY source),
 frequent AS (SELECT h.source, h.line FROM (SELECT source, line, count(*) AS n FROM held GROUP BY source, line) h
-  JOIN hosts USING (source) WHERE h.n > 20 AND h.n > 0.05 * pages),
+  JOIN hosts USING (source) WHERE h.n > 20 AND h.n > least(0.05 * texts, 5000)),
 gone AS (SELECT doc_id, count(*) AS removed_lines, sum(words) AS removed_words
   FROM norm JOIN frequent USING (source, line) GROUP BY doc_id),
 r AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,

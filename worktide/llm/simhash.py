@@ -59,15 +59,15 @@ def text_fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, bits), one row per row of ``docs``; bits is the fingerprint as a signed long."""
+    """(doc_id, digest, bits), one row per row of ``docs``; digest tells texts apart, bits is the fingerprint as a signed long."""
     def run(batches):
         for batch in batches:
-            bits = np.fromiter((text_fingerprint(t or b"") for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], ["doc_id", "bits"])
+            bits = np.fromiter((text_fingerprint(t or b"") for t in batch.column(2).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits.view(np.int64))], ["doc_id", "digest", "bits"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(docs[key].alias("doc_id"), docs[text].cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, bits long")
+    rows = docs.select(docs[key].alias("doc_id"), F.xxhash64(docs[text]).alias("digest"), docs[text].cast("binary").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, digest long, bits long")
 
 
 def grouped_bits(sample: np.ndarray, parts: int) -> list[int]:
@@ -244,15 +244,15 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(doc_id, bits, component_id), one row per row of ``docs``."""
+    """(doc_id, digest, bits, group, component_id), one row per row of ``docs``; group is one of the component's fingerprints."""
     marks = saved(fingerprints(docs, key, text))
-    nodes = saved(marks.groupBy("bits").agg(F.min("doc_id").alias("node")))
-    pairs = links(nodes, radius)
-    a, b = nodes.toDF("a", "a_node"), nodes.toDF("b", "b_node")
-    edges = pairs.join(a, "a").join(b, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    found = connected_components(edges)
-    named = nodes.join(found, "node", "left").select(F.col("bits").alias("bits_"), F.coalesce("component", "node").alias("component_id"))
-    return marks.join(named, F.col("bits") == F.col("bits_")).select("doc_id", "bits", "component_id")
+    nodes = saved(marks.groupBy("bits").agg(F.min("doc_id").alias("least")))
+    found = connected_components(links(nodes, radius))
+    named = nodes.join(found, F.col("bits") == F.col("node"), "left").select(
+        F.col("bits").alias("bits_"), F.coalesce("component", "bits").alias("group"), "least")
+    ids = named.groupBy(F.col("group").alias("group_")).agg(F.min("least").alias("component_id"))
+    named = named.join(ids, F.col("group") == F.col("group_")).select("bits_", "group", "component_id")
+    return marks.join(named, F.col("bits") == F.col("bits_")).select("doc_id", "digest", "bits", "group", "component_id")
 
 
 def simhash_report(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -262,8 +262,11 @@ def simhash_report(docs: DataFrame, key: str = "doc_id", text: str = "text", rad
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """One document of each component, that of the smallest id; of repeated rows one; rows without an id stay."""
-    name = free_name(docs, "first_")
-    first = near_duplicates(docs, key, text, radius).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
-    kept = docs.join(first, docs[key] == F.col(name), "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.filter(docs[key].isNull()))
+    """One document of each component, that of the smallest id - of several texts with it, that of the smallest digest; of repeated
+    rows one; rows without an id stay."""
+    name, digest = free_name(docs, "first_"), free_name(docs, "digest_")
+    groups = near_duplicates(docs, key, text, radius).filter(F.col("doc_id").isNotNull())
+    first = groups.groupBy("group").agg(F.min(F.struct("doc_id", "digest")).alias("first")).select(F.col("first").alias(name)).distinct()
+    rows = docs.filter(docs[key].isNotNull()).withColumn(digest, F.xxhash64(docs[text]))
+    kept = rows.join(first, (F.col(key) == F.col(f"{name}.doc_id")) & (F.col(digest) == F.col(f"{name}.digest")), "left_semi")
+    return kept.dropDuplicates([key, digest]).drop(digest).unionByName(docs.filter(docs[key].isNull()))
