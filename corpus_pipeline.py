@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worktide.llm import decontam, minhash, mixing, quality, secrets
+from worktide.llm import decontam, mixing, quality, secrets, simhash
 from worktide.llm.common import scratch, table
 from worktide.session import prepare
 
@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the document of the smallest id stays."""
-    return minhash.one_of_each(docs)
+    """Of each group of linked fingerprints (four-word shingles, 4 bits) the document of the smallest id stays."""
+    return simhash.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
