@@ -20,8 +20,29 @@ DELAY = f"{DELAY_HOURS} hours"
 SESSION_TTL = 1800
 LEASE_TTL = 21_600
 
-# What the watermark has reached at the end: the last time seen, in whole milliseconds, less the delay.
-_MARK = "mark AS (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) - INTERVAL '{}' HOUR AS mark FROM events)".format(DELAY_HOURS)
+
+
+def _delivered(v):
+    """The events in two files out of order, and what to add in the end.
+
+    The cut between the files goes through the rows of one hour, so that some come after later ones, though not later than the delay
+    allows. A last row far ahead moves the watermark past all others, so that nothing is left waiting.
+    """
+    path = scratch_path(v._spark, "events")
+    middle = v.events.agg(F.timestamp_micros(((F.unix_micros(F.min("ts").cast("timestamp")) + F.unix_micros(F.max("ts").cast("timestamp"))) / 2)
+                                             .cast("bigint")).cast("timestamp_ntz").alias("middle")).first()["middle"]
+    late = F.coalesce(F.col("ts") >= F.lit(middle) + F.make_dt_interval(mins=(F.col("event_id") % 60).cast("int")), F.lit(False))
+    rows = v.events.repartition(8, "event_id")
+    for part in (~late, late):
+        rows.filter(part).coalesce(1).write.mode("append").parquet(path)
+
+    def end() -> None:
+        last = v.events.agg(F.max("ts").alias("ts")).select(
+            F.lit(-1).cast("bigint").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 400 DAYS")).alias("ts"), F.lit(-1).cast("bigint").alias("user_id"),
+            F.lit("end").alias("event_type"), F.lit(0.0).alias("value"), F.lit(None).cast("string").alias("props"))
+        last.coalesce(1).write.mode("append").parquet(path)
+
+    return v.streaming("events", path, files_per_batch=1), end
 
 
 @query("relay", f"{ENVELOPE_SQL} WHERE {UNCLAIMED}", ("v_outbox",))
@@ -80,10 +101,10 @@ def _(v):
     return changes.first_per(sent.union(sent), ["event_id"], ["created_at"])
 
 
-@query("lifecycle_fold", "SELECT j.* FROM judged j, mark WHERE (epoch_us(created_at) + 999) // 1000 < epoch_us(mark) // 1000",
-       ("v_outbox",), f"{STEPS},\n{_MARK}")
+@query("lifecycle_fold", "SELECT * FROM judged", ("v_outbox",), STEPS)
 def _(v):
-    return drain(stateful.lifecycle_stream(v.streaming("events").outbox, DELAY), "lifecycle")
+    given, end = _delivered(v)
+    return drain(stateful.lifecycle_stream(given.outbox, DELAY), "lifecycle", end)
 
 
 @query("lifecycle_status", """
@@ -110,12 +131,11 @@ def _signals(outbox):
 
 
 @query("expiry", """
-SELECT job_id, lease_end AS expired_at FROM signals, mark
-WHERE alive AND (next_ts > lease_end OR next_ts IS NULL) AND (epoch_us(lease_end) + 999) // 1000 < epoch_us(mark) // 1000""",
-       ("v_outbox",), f"{_SIGNALS},\n{_MARK}")
+SELECT job_id, lease_end AS expired_at FROM signals WHERE alive AND (next_ts > lease_end OR next_ts IS NULL)""", ("v_outbox",), _SIGNALS)
 def _(v):
-    signals = zoned(_signals(v.streaming("events").outbox), "ts")
-    return unzoned(drain(stateful.expiry_stream(signals, LEASE_TTL, DELAY), "expiry"))
+    given, end = _delivered(v)
+    signals = zoned(_signals(given.outbox), "ts")
+    return unzoned(drain(stateful.expiry_stream(signals, LEASE_TTL, DELAY), "expiry", end))
 
 
 @query("expiry_batch", f"""
@@ -134,10 +154,10 @@ sessions AS (
   FROM numbered GROUP BY worker_id, session)"""
 
 
-@query("worker_sessions", "SELECT s.* FROM sessions s, mark WHERE session_end <= mark", ("v_heartbeats",), f"{_SESSIONS},\n{_MARK}")
+@query("worker_sessions", "SELECT * FROM sessions", ("v_heartbeats",), _SESSIONS)
 def _(v):
-    beats = zoned(v.streaming("events").heartbeats, "ts")
-    return unzoned(drain(windows.session_stream(beats, SESSION_TTL, DELAY), "sessions"))
+    given, end = _delivered(v)
+    return unzoned(drain(windows.session_stream(zoned(given.heartbeats, "ts"), SESSION_TTL, DELAY), "sessions", end))
 
 
 @query("worker_sessions_batch", "SELECT * FROM sessions", ("v_heartbeats",), _SESSIONS)
@@ -145,10 +165,10 @@ def _(v):
     return leases.worker_sessions(v.heartbeats, SESSION_TTL)
 
 
-@query("rate_limit_stream", ORACLES["rate_limit"].replace("client_id, ts, allowed", "client_id, allowed") + f"""
-WHERE (epoch_us(ts) + 999) // 1000 < (SELECT max(epoch_us(ts)) // 1000 FROM events) - {DELAY_HOURS * 3_600_000}""")
+@query("rate_limit_stream", ORACLES["rate_limit"].replace("client_id, ts, allowed", "client_id, allowed"))
 def _(v):
-    return drain(stateful.rate_limit_stream(v.streaming("events").requests, DELAY, CAPACITY, PERIOD), "rate-limit")
+    given, end = _delivered(v)
+    return drain(stateful.rate_limit_stream(given.requests, DELAY, CAPACITY, PERIOD), "rate-limit", end)
 
 
 def _window_sql(starts: str, size: int) -> str:
@@ -156,23 +176,37 @@ def _window_sql(starts: str, size: int) -> str:
 SELECT window_start, window_start + INTERVAL '{size}' MINUTE AS window_end, route, count(*) AS rows,
        round(sum(duration_s), 6) AS total_seconds, count(*) FILTER (WHERE duration_s <= 0.1) AS le_0_1,
        count(*) FILTER (WHERE duration_s <= 0.25) AS le_0_25
-FROM (SELECT *, {starts} AS window_start FROM v_requests) r, mark
-WHERE window_start + INTERVAL '{size}' MINUTE <= mark GROUP BY window_start, route"""
+FROM (SELECT *, {starts} AS window_start FROM v_requests) r GROUP BY window_start, route"""
+
+
+def _windowed(requests, size, slide):
+    requests = zoned(requests.select("ts", "route", "duration_s"), "ts")
+    return windows.metrics_stream(requests, "ts", ["route"], size, DELAY, slide, F.col("duration_s"), (0.1, 0.25))
 
 
 def _metrics(v, size, slide=None):
-    requests = zoned(v.streaming("events").requests.select("ts", "route", "duration_s"), "ts")
-    found = windows.metrics_stream(requests, "ts", ["route"], size, DELAY, slide, F.col("duration_s"), (0.1, 0.25))
-    return unzoned(drain(found, "metrics")).withColumn("total_seconds", F.round("total_seconds", 6))
+    given, end = _delivered(v)
+    return unzoned(drain(_windowed(given.requests, size, slide), "metrics", end)).withColumn("total_seconds", F.round("total_seconds", 6))
 
 
-@query("metrics_tumbling", _window_sql("time_bucket(INTERVAL '30' MINUTE, ts)", 30), ("v_requests",), _MARK)
+@query("metrics_tumbling", _window_sql("time_bucket(INTERVAL '30' MINUTE, ts)", 30), ("v_requests",))
 def _(v):
     return _metrics(v, "30 minutes")
 
 
+@query("metrics_tumbling_batch", _window_sql("time_bucket(INTERVAL '30' MINUTE, ts)", 30), ("v_requests",))
+def _(v):
+    return unzoned(_windowed(v.requests, "30 minutes", None)).withColumn("total_seconds", F.round("total_seconds", 6))
+
+
 @query("metrics_sliding", _window_sql(
     "unnest([time_bucket(INTERVAL '30' MINUTE, ts), time_bucket(INTERVAL '30' MINUTE, ts) - INTERVAL '30' MINUTE])", 60),
-       ("v_requests",), _MARK)
+       ("v_requests",))
 def _(v):
     return _metrics(v, "60 minutes", "30 minutes")
+
+
+@query("metrics_sliding_batch", _window_sql(
+    "unnest([time_bucket(INTERVAL '30' MINUTE, ts), time_bucket(INTERVAL '30' MINUTE, ts) - INTERVAL '30' MINUTE])", 60), ("v_requests",))
+def _(v):
+    return unzoned(_windowed(v.requests, "60 minutes", "30 minutes")).withColumn("total_seconds", F.round("total_seconds", 6))

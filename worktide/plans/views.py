@@ -10,7 +10,7 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worktide.streaming.io import stream_table
+from worktide.streaming.io import FILES_PER_BATCH, stream_table
 
 JOBS_AS_OF = "1998-06-30 12:00:00"
 EVENTS_AS_OF = "2024-01-20 00:00:00"
@@ -169,12 +169,12 @@ class Views:
         self._spark, self._dir = spark, sf_dir.rstrip("/")
         self._built: dict[str, DataFrame] = {}
 
-    def streaming(self, table: str) -> Views:
-        """The same views with one raw table read as a stream."""
+    def streaming(self, table: str, path: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> Views:
+        """The same views with one raw table read as a stream, from its own place or from ``path``."""
         other = Views(self._spark, self._dir)
         # A pattern, because the file source wants a folder or a glob and the table may be either.
-        path = f"{self._dir}/{table}.parque[t]"
-        other._built[table] = stream_table(self._spark, path, RAW_SCHEMAS[table])
+        path = path or f"{self._dir}/{table}.parque[t]"
+        other._built[table] = stream_table(self._spark, path, RAW_SCHEMAS[table], files_per_batch=files_per_batch)
         return other
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -17,14 +19,20 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType | str, fmt
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(fmt).load(path)
 
 
-def drain(stream: DataFrame, name: str = "stream") -> DataFrame:
-    """Run an append stream over everything there is now, into files, and return them as a table."""
+def drain(stream: DataFrame, name: str = "stream", then: Callable[[], None] | None = None) -> DataFrame:
+    """Run an append stream over everything there is now, into files, and return them as a table.
+
+    ``then`` may add to what the stream reads, such as a last row that moves the watermark; the stream goes on with that.
+    """
     spark = stream.sparkSession
     target, state = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
-    running = stream.writeStream.outputMode("append").format("parquet").option("path", target).option(
-        "checkpointLocation", state
-    ).trigger(availableNow=True).start()
-    running.awaitTermination()
+    for more in (None, then) if then else (None,):
+        if more:
+            more()
+        running = stream.writeStream.outputMode("append").format("parquet").option("path", target).option(
+            "checkpointLocation", state
+        ).trigger(availableNow=True).start()
+        running.awaitTermination()
     return spark.read.schema(stream.schema).parquet(target)
 
 
