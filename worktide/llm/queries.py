@@ -42,8 +42,9 @@ n AS (SELECT doc_id, source, unnest(l) AS raw FROM d),
 norm AS (SELECT doc_id, source, lower(regexp_replace(trim(raw, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
            '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
          len(list_filter(regexp_split_to_array(raw, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words, raw FROM n),
-held AS (SELECT DISTINCT source, text, line FROM norm JOIN d USING (doc_id, source)),
-hosts AS (SELECT source, count(DISTINCT text) AS texts FROM held GROUP BY source),
+texts AS (SELECT doc_id, md5(text) AS digest FROM d),
+held AS (SELECT DISTINCT source, digest, line FROM norm JOIN texts USING (doc_id)),
+hosts AS (SELECT source, count(DISTINCT digest) AS texts FROM held GROUP BY source),
 frequent AS (SELECT h.source, h.line FROM (SELECT source, line, count(*) AS n FROM held GROUP BY source, line) h
   JOIN hosts USING (source) WHERE h.n > 20 AND h.n > least(0.05 * texts, 5000)),
 gone AS (SELECT doc_id, count(*) AS removed_lines, sum(words) AS removed_words
