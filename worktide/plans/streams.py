@@ -11,6 +11,7 @@ from worktide.plans.metrics import ENVELOPE_SQL, STEPS, UNCLAIMED
 from worktide.plans.registry import ORACLES, query
 from worktide.plans.views import EVENTS_AS_OF
 from worktide.session import scratch_path
+from worktide.sources import ledger
 from worktide.sources.outlet import file_writer
 from worktide.streaming import relay, stateful, windows
 from worktide.streaming.io import drain, unzoned, zoned
@@ -87,6 +88,17 @@ def _(v):
                         "next_publish_at", "claimed_until", F.col("last_publish_error").alias("error"))
 
 
+@query("relay_ledger", f"{ENVELOPE_SQL} WHERE {UNCLAIMED}", ("v_outbox",))
+def _(v):
+    """The due events through the exactly-once sink, every batch of them sent twice, as after a lost checkpoint."""
+    spark, path = v._spark, scratch_path(v._spark, "ledger")
+    for attempt in range(2):
+        outbox = v.streaming("events").outbox
+        running = ledger.relay_ledger(outbox, path, scratch_path(spark, f"ledger-checkpoint-{attempt}"), ledger.publish_ready(outbox, EVENTS_AS_OF))
+        running.awaitTermination()
+    return ledger.read_ledger(spark, path, "key string, value string")
+
+
 @query("dedupe_events", "SELECT event_id, job_id, event_type, created_at FROM v_outbox", ("v_outbox",))
 def _(v):
     """Every event delivered twice, and seen once."""
