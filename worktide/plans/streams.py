@@ -13,7 +13,7 @@ from worktide.plans.views import EVENTS_AS_OF
 from worktide.session import scratch_path
 from worktide.sources import ledger
 from worktide.sources.outlet import file_writer
-from worktide.streaming import relay, stateful, windows
+from worktide.streaming import relay, seen, stateful, windows
 from worktide.streaming.io import drain, unzoned, zoned
 
 DELAY_HOURS = 2
@@ -107,6 +107,18 @@ def _(v):
     return unzoned(drain(relay.dedupe_events(sent.union(again), DELAY), "dedupe"))
 
 
+@query("dedupe_forever", "SELECT event_id, job_id, event_type, created_at FROM v_outbox", ("v_outbox",))
+def _(v):
+    """Half of the events, and then all of them, however far apart in time."""
+    spark, path, out = v._spark, scratch_path(v._spark, "events"), scratch_path(v._spark, "once")
+    for part in (v.events.filter("event_id % 2 = 0"), v.events):
+        part.coalesce(4).write.mode("append").parquet(path)
+    stream = v.streaming("events", path, files_per_batch=4).outbox.select("event_id", "job_id", "event_type", "created_at")
+    ids = seen.SeenIds(spark, scratch_path(spark, "seen"), buckets=8, blocks=256)
+    seen.dedupe_forever(stream, ids, file_writer(out), scratch_path(spark, "seen-checkpoint")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
+
+
 @query("dedupe_events_batch", "SELECT event_id, job_id, event_type, created_at FROM v_outbox", ("v_outbox",))
 def _(v):
     sent = v.outbox.select("event_id", "job_id", "event_type", "created_at")
