@@ -12,6 +12,7 @@ from worktide.functions import states as S
 from worktide.operators.changes import (
     ChangeSet, event_rows, first_per, guarded_join, payload_text, revise,
 )
+from worktide.operators.ranks import with_positions
 
 DUE_ORDER = (F.desc, "priority"), (F.asc, "run_at"), (F.asc, "created_at"), (F.asc, "job_id")
 
@@ -40,6 +41,21 @@ def batch_plan(jobs: DataFrame, as_of: R.Instant, workers: Sequence[str], size:
     return ranked.withColumn("batch", batch).withColumn("worker_id", names[F.col("batch")])
 
 
+def batch_plan_all(jobs: DataFrame, as_of: R.Instant, workers: Sequence[str], size: int) -> DataFrame:
+    """Batches of ``size`` over all due jobs, dealt to the workers in turn, in the order consecutive claims would take them.
+
+    Positions come from ranges of the order and their counts, so that no task sees all due jobs.
+    """
+    if size < 1 or not workers:
+        raise ValueError("a batch plan needs at least one worker and a positive size")
+    now = R.instant_like(as_of, jobs, "run_at")
+    due = jobs.filter(R.is_due(now)).select("job_id", "priority", "run_at", "created_at")
+    ranked = with_positions(due, _due_order())
+    batch = F.floor((F.col("position") - 1) / F.lit(size)).cast("bigint")
+    names = F.array(*[F.lit(name) for name in workers])
+    return ranked.withColumn("batch", batch).withColumn("worker_id", F.get(names, F.pmod("batch", F.lit(len(workers))).cast("int")))
+
+
 def start_due(jobs: DataFrame, plan: DataFrame, as_of: R.Instant, ttl_seconds: int) -> ChangeSet:
     """Lease the planned jobs: mark them RUNNING, open an attempt, emit job.started.
 

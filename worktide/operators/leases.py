@@ -31,7 +31,7 @@ def lease_expiries(signals: DataFrame, ttl_seconds: int, until: R.Instant | None
 
 
 def worker_sessions(heartbeats: DataFrame, ttl_seconds: int) -> DataFrame:
-    """Spans in which a worker was alive: heartbeats no further apart than the TTL.
+    """Spans in which a worker was alive: heartbeats less than the TTL apart; a heartbeat is gone once a full TTL has passed.
 
     Two heartbeats within one TTL-wide slot always belong together, so every worker is first reduced to
     a row per slot, before the shuffle. What one worker can hold then is its time span over the TTL,
@@ -42,7 +42,7 @@ def worker_sessions(heartbeats: DataFrame, ttl_seconds: int) -> DataFrame:
         "worker_id", F.floor(F.col("us") / width).alias("slot")
     ).agg(F.min("us").alias("first"), F.max("us").alias("last"), F.count(F.lit(1)).alias("n"))
     by_worker = Window.partitionBy("worker_id").orderBy("slot")
-    broken = F.col("first") - F.lag("last").over(by_worker) > width
+    broken = F.col("first") - F.lag("last").over(by_worker) >= width
     numbered = slots.withColumn("__new", F.coalesce(broken, F.lit(True)).cast("int")).withColumn(
         "session", F.sum("__new").over(by_worker)
     )

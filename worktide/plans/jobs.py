@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from worktide.functions import rules as R
-from worktide.operators import changes, commands, deadletters, execution, listing, reports, submit
+from worktide.operators import changes, commands, deadletters, execution, listing, maintained, reports, submit
 from worktide.plans.registry import JOBS_NOW, query
 from worktide.plans.views import JOBS_AS_OF
 
@@ -345,6 +345,33 @@ def _(v):
     return _settled(v).rejects.select("outcome_id", "job_id", "attempt_id", "worker_id", "reason")
 
 
+@query("maintained_counts", f"""
+, after AS (SELECT j.tenant_id, j.locked_until, j.retry_count, j.max_retries, f.job_id IS NULL AS untouched,
+       CASE WHEN f.job_id IS NULL THEN j.status WHEN f.ok THEN 'SUCCEEDED' WHEN f.dead THEN 'DEAD_LETTERED' ELSE 'RETRY_SCHEDULED' END AS status
+  FROM v_jobs j LEFT JOIN finished f ON j.job_id = f.job_id)
+SELECT tenant_id, CASE WHEN untouched AND status = 'RUNNING' AND locked_until < {JOBS_NOW}
+         THEN CASE WHEN retry_count + 1 > max_retries THEN 'DEAD_LETTERED' ELSE 'RETRY_SCHEDULED' END ELSE status END AS status, count(*) AS jobs
+FROM after GROUP BY 1, 2""", _REPORTS, _REPORTED)
+def _(v):
+    """Jobs per tenant and status, counted once and then kept up by the changes of reports and of recovery."""
+    counts = maintained.STATUS_COUNTS.full(v.jobs)
+    settled = _settled(v).materialize()
+    after = changes.apply_changes(v.jobs, settled.jobs, "job_id")
+    recovered = execution.recover_expired(after, v.all_open_attempts, NOW, REASON)
+    for change in (settled, recovered):
+        counts = maintained.STATUS_COUNTS.follow(counts, change)
+    return counts
+
+
+@query("batch_plan_all", f"""
+SELECT job_id, priority, run_at, created_at, position, (position - 1) // {SIZE} AS batch, concat('worker-', ((position - 1) // {SIZE}) % {len(WORKERS)}) AS worker_id
+FROM (SELECT *, row_number() OVER (ORDER BY priority DESC, run_at, created_at, job_id) AS position FROM v_jobs
+      WHERE status IN ('PENDING', 'SCHEDULED', 'RETRY_SCHEDULED') AND run_at <= {JOBS_NOW} AND (locked_until IS NULL OR locked_until < {JOBS_NOW})) d""", ("v_jobs",))
+def _(v):
+    """All due jobs in batches."""
+    return execution.batch_plan_all(v.jobs, NOW, WORKERS, SIZE)
+
+
 @query("compat_updates", f"""
 SELECT j.job_id, CASE WHEN o.ok THEN 'SUCCEEDED' WHEN NOT o.again OR j.retry_count + 1 > j.max_retries THEN 'DEAD_LETTERED'
             ELSE 'RETRY_SCHEDULED' END AS status,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from worktide.functions import rules as R
 from worktide.functions import states as S
-from worktide.operators import audit, listing, outbox, reports
+from worktide.operators import audit, listing, outbox, quantiles, reconcile, reports
 from worktide.plans.registry import EVENTS_NOW, query
 from worktide.plans.views import EVENTS_AS_OF
 from worktide.sources.outlet import envelope
@@ -256,6 +256,33 @@ def _(v):
     return _quantiles(_ended(v), F.col("duration_ms"), ["job_type"])
 
 
+@query("latency_quantiles_us", """
+SELECT tenant_id, count(*) AS rows, round(quantile_cont(us::DOUBLE, 0.5), 3) AS p50, round(quantile_cont(us::DOUBLE, 0.95), 3) AS p95,
+       round(quantile_cont(us::DOUBLE, 0.999), 3) AS p999
+FROM (SELECT CASE WHEN job_id % 3 = 0 THEN 0 ELSE tenant_id END AS tenant_id, epoch_us(published_at) - epoch_us(created_at) + event_id % 1000 AS us
+      FROM v_outbox WHERE published_at IS NOT NULL) lag GROUP BY tenant_id""", ("v_outbox",))
+def _(v):
+    """Quantiles of microseconds by selection, with one hot group."""
+    us = F.unix_micros(F.col("published_at").cast("timestamp")) - F.unix_micros(F.col("created_at").cast("timestamp")) + F.col("event_id") % 1000
+    rows = v.outbox.withColumn("tenant_id", F.when(F.col("job_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("tenant_id")))
+    found = quantiles.exact_quantiles(rows, us, (0.5, 0.95, 0.999), ["tenant_id"])
+    return found.select("tenant_id", "rows", *[F.round(F.col("quantiles")[i], 3).alias(n) for i, n in enumerate(("p50", "p95", "p999"))])
+
+
+@query("reconcile_status", """
+, s AS (SELECT job_id, arg_max(event_type, (created_at, event_id)) AS last, max(created_at) AS since FROM v_outbox GROUP BY job_id)
+SELECT job_id, 'left_only' AS kind, last AS left_last, NULL AS right_last FROM s WHERE job_id % 89 = 0
+UNION ALL SELECT -job_id - 1, 'right_only', NULL, last FROM s WHERE job_id % 83 = 0
+UNION ALL SELECT job_id, 'differs', last, 'job.lost' FROM s WHERE job_id % 97 = 0 AND job_id % 89 <> 0""", ("v_outbox",), "none AS (SELECT 1)")
+def _(v):
+    """Each job's last event against a copy in which some are missing, added or altered."""
+    own = v.outbox.groupBy("job_id").agg(F.max_by("event_type", F.struct("created_at", "event_id")).alias("last"), F.max("created_at").alias("since"))
+    copy = own.filter("job_id % 89 <> 0").withColumn("last", F.when(F.col("job_id") % 97 == 0, "job.lost").otherwise(F.col("last")))
+    copy = copy.unionByName(own.filter("job_id % 83 = 0").withColumn("job_id", -F.col("job_id") - 1))
+    found = reconcile.differences(own, copy, "job_id", ["last", "since"])
+    return found.select("job_id", "kind", F.col("left.last").alias("left_last"), F.col("right.last").alias("right_last"))
+
+
 @query("publication_quantiles", _quantile_sql("ms", """(
   SELECT tenant_id, CAST(floor((epoch_us(published_at) - epoch_us(created_at)) / 1000) AS BIGINT) AS ms
   FROM v_outbox WHERE published_at IS NOT NULL) lag""", "tenant_id"), ("v_outbox",))

@@ -170,7 +170,7 @@ def _(v):
 
 
 _SESSIONS = f"""gaps AS (
-  SELECT worker_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL '{SESSION_TTL}' SECOND THEN 0 ELSE 1 END AS opens
+  SELECT worker_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL '{SESSION_TTL}' SECOND THEN 0 ELSE 1 END AS opens
   FROM v_heartbeats WINDOW w AS (PARTITION BY worker_id ORDER BY ts)),
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY worker_id ORDER BY ts) AS session FROM gaps),
 sessions AS (

@@ -14,12 +14,13 @@ from worktide.functions import states as S
 
 
 def session_stream(heartbeats: DataFrame, ttl_seconds: int, delay: str) -> DataFrame:
-    """Spans in which a worker's heartbeats were no further apart than the TTL."""
+    """Spans in which a worker's heartbeats were less than the TTL apart; a heartbeat is gone once a full TTL has passed."""
     live = heartbeats.withWatermark("ts", delay)
-    spans = live.groupBy("worker_id", F.session_window("ts", f"{ttl_seconds} seconds").alias("w")).agg(
-        F.count(F.lit(1)).alias("heartbeats")
-    )
-    return spans.select("worker_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "heartbeats")
+    # Session windows also join what is exactly their gap apart.
+    gap = f"{ttl_seconds * 1_000_000 - 1} microseconds"
+    spans = live.groupBy("worker_id", F.session_window("ts", gap).alias("w")).agg(F.count(F.lit(1)).alias("heartbeats"))
+    end = F.timestamp_micros(F.unix_micros("w.end") + 1)
+    return spans.select("worker_id", F.col("w.start").alias("session_start"), end.alias("session_end"), "heartbeats")
 
 
 def metrics_stream(rows: DataFrame, ts: str, by: Sequence[str], size: str, delay: str, slide: str | None = None,
