@@ -101,3 +101,37 @@ def test_a_heartbeat_is_gone_after_a_full_ttl(spark):
     assert found == [2, 2] == [r.heartbeats for r in windows.session_stream(beats, 60, "0 seconds").orderBy("session_start").collect()]
     ends = [[str(r.session_end) for r in df.orderBy("session_start").collect()] for df in (leases.worker_sessions(beats, 60), windows.session_stream(beats, 60, "0 seconds"))]
     assert ends[0] == ends[1]
+
+
+def test_any_page_reads_its_ranges(spark, tmp_path):
+    from worktide.operators.pages import build_directory
+
+    rng = random.Random(9)
+    data = [(i, rng.randrange(20)) for i in range(1000)]
+    made = build_directory(spark.createDataFrame(data, "id int, priority int").repartition(5), [("priority", False), ("id", True)], str(tmp_path / "t"), ranges=10)
+    expected = [i for i, _ in sorted(data, key=lambda x: (-x[1], x[0]))]
+    for number, size in ((1, 30), (7, 100), (34, 30), (11, 100)):
+        assert [r.id for r in made.page(number, size).collect()] == expected[(number - 1) * size:number * size]
+    assert made.page(99, 100).count() == 0 and made.page(1, 5).columns == ["id", "priority"]
+    plan = made.page(3, 10)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "page_range" in plan
+    assert made.ranges().agg(F.sum("rows")).first()[0] == 1000
+
+
+def test_reports_of_streams_are_kept(spark, tmp_path):
+    from worktide.streaming.io import drain, stream_table
+    from worktide.streaming.monitor import Monitor, per_query, progress
+
+    path, kept = str(tmp_path / "in"), str(tmp_path / "kept")
+    make = lambda low, high: spark.range(low, high).select(F.timestamp_seconds(F.col("id")).alias("ts")).coalesce(1).write.mode("append").parquet(path)
+    make(1000, 1100)
+    stream = stream_table(spark, path, "ts timestamp", files_per_batch=1).observe("seen", F.count(F.lit(1)).alias("rows"))
+    counted = stream.withWatermark("ts", "10 seconds").groupBy(F.window("ts", "5 seconds").alias("w")).agg(F.count("*").alias("n")).select("w.start", "n")
+    with Monitor(spark, kept):
+        drain(counted, "counted", lambda: (make(5000, 5001), make(0, 30)))
+    found = per_query(progress(spark, kept)).collect()
+    assert [r.input_rows for r in found] == [131]
+    rows = progress(spark, kept).orderBy("batch").collect()
+    assert rows[0].observed["seen"]["rows"] == 100 and any(r.watermark and r.state_rows for r in rows)
+    # Late rows are counted after they were combined by window.
+    assert sum(r.dropped_rows for r in rows) == 6

@@ -69,10 +69,11 @@ def _violations(counted: DataFrame, **rules: Column) -> DataFrame:
 
 
 def audit(jobs: DataFrame, attempts: DataFrame, outbox: DataFrame,
-          submissions: DataFrame | None = None) -> DataFrame:
+          submissions: DataFrame | None = None, timed: DataFrame | None = None) -> DataFrame:
     """One row per rule with the number of violations.
 
-    Rules that need the same input share one pass over it.
+    Rules that need the same input share one pass over it. ``timed`` has attempts with duration_ms, if those of ``attempts``
+    have none.
     """
     def one(broken: Column) -> Column:
         return F.when(broken, 1)
@@ -99,6 +100,9 @@ def audit(jobs: DataFrame, attempts: DataFrame, outbox: DataFrame,
     )
     events = _violations(outbox, unpublished_event=one(F.col("published_at").isNull()))
     parts = [sequence, pairing, states, events]
+    lasting = timed if timed is not None else attempts if "duration_ms" in attempts.columns else None
+    if lasting is not None:
+        parts.append(_violations(overlapping_attempts(lasting), attempts_overlap=F.lit(1)))
     if submissions is not None:
         keyed = submissions.filter(F.col("idempotency_key").isNotNull())
         uses = keyed.groupBy("tenant_id", "idempotency_key").agg(F.count(F.lit(1)).alias("n"))

@@ -59,10 +59,11 @@ def dashboard(jobs: DataFrame, attempts: DataFrame, outbox: DataFrame, heartbeat
     )
 
 
-def lifecycle_counters(events: DataFrame, jobs: DataFrame) -> DataFrame:
+def lifecycle_counters(events: DataFrame, jobs: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """Created, claimed, completed, failed and dead-lettered per job type.
 
-    Dead letters from lease recovery are not counted. Events are reduced per job and kind before they
+    Dead letters from lease recovery are not counted. ``requests`` are judged ones (job_type, outcome): a repeat that was answered
+    with the job it had made counts as created once more, as the service counts answers and not rows. Events are reduced per job and kind before they
     meet their job, so a job with a flood of events costs a few rows in the join.
     """
     reduced = events.groupBy("job_id", "event_type", "source").agg(F.count(F.lit(1)).alias("n"))
@@ -72,11 +73,16 @@ def lifecycle_counters(events: DataFrame, jobs: DataFrame) -> DataFrame:
         hit = F.col("event_type") == kind
         return F.coalesce(F.sum(F.when(hit if extra is None else hit & extra, F.col("n"))), F.lit(0)).cast("bigint")
 
-    return typed.groupBy("job_type").agg(
+    counted = typed.groupBy("job_type").agg(
         total("job.created").alias("created"), total("job.started").alias("claimed"),
         total("job.completed").alias("completed"), total("job.failed").alias("failed"),
         total("job.dead_lettered", F.col("source") != "recovery").alias("dead_lettered"),
     )
+    if requests is None:
+        return counted
+    again = requests.filter(F.col("outcome") == "REPLAYED").groupBy("job_type").agg(F.count(F.lit(1)).alias("replays"))
+    joined = counted.join(again, "job_type", "full").fillna(0)
+    return joined.withColumn("created", F.col("created") + F.col("replays")).drop("replays")
 
 
 def histogram(df: DataFrame, value: Column, by: Sequence[str], buckets: Sequence[float] = S.DURATION_BUCKETS) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from worktide.functions import rules as R
-from worktide.operators import changes, commands, deadletters, execution, listing, maintained, reports, submit
+from worktide.operators import changes, commands, deadletters, execution, listing, maintained, pages, reports, submit
 from worktide.plans.registry import JOBS_NOW, query
 from worktide.plans.views import JOBS_AS_OF
+from worktide.session import scratch_path
 
 NOW = JOBS_AS_OF
 REASON = "worker lease expired before completion"
@@ -51,6 +52,15 @@ def _(v):
     return listing.list_jobs(v.jobs, _filter(sort="run_at", page=2, size=10))
 
 
+@query("list_jobs_far_page", """
+SELECT job_id, priority, run_at, status FROM v_jobs ORDER BY run_at DESC, job_id DESC LIMIT 100 OFFSET 400""", ("v_jobs",))
+def _(v):
+    """A page through the directory of the sorted table."""
+    kept = v.jobs.select("job_id", "priority", "run_at", "status")
+    directory = pages.build_directory(kept, [("run_at", False), ("job_id", False)], scratch_path(v._spark, "pages"), ranges=16)
+    return directory.page(5, 100)
+
+
 @query("list_jobs_by_priority", f"SELECT * {_LISTED} AND status = 'RUNNING' ORDER BY priority, job_id LIMIT 20", ("v_jobs",))
 def _(v):
     return listing.list_jobs(v.jobs, _filter(sort="priority", order="asc", status="RUNNING"))
@@ -532,6 +542,26 @@ decided AS (
   FROM checked c LEFT JOIN owners o ON c.tenant_id = o.tenant_id AND c.idempotency_key = o.idempotency_key)"""
 
 
+@query("counters_with_replays", """
+SELECT coalesce(c.job_type, r.job_type) AS job_type, coalesce(c.created, 0) + coalesce(r.replays, 0) AS created, coalesce(c.claimed, 0) AS claimed
+FROM (SELECT j.job_type, count(*) FILTER (WHERE event_type = 'job.created') AS created, count(*) FILTER (WHERE event_type = 'job.started') AS claimed
+      FROM v_outbox o JOIN v_jobs j ON o.job_id = j.job_id GROUP BY j.job_type) c
+FULL JOIN (SELECT k.job_type, count(*) AS replays FROM decided d JOIN checked k ON d.seq = k.seq WHERE d.outcome = 'REPLAYED' GROUP BY k.job_type) r
+  ON c.job_type = r.job_type""",
+       ("v_jobs", "v_outbox", "v_submissions"), _SUBMITTED)
+def _(v):
+    """Created and claimed per job type, with repeats that were answered with the job they had made."""
+    judged = submit.judge_requests(v.submissions, None, NOW)
+    return reports.lifecycle_counters(v.outbox, v.jobs, judged).select("job_type", "created", "claimed")
+
+
+@query("list_dead_letters", """
+SELECT dead_letter_id, tenant_id, failed_at FROM v_dead_letters WHERE tenant_id = 3 ORDER BY failed_at DESC, dead_letter_id DESC LIMIT 5 OFFSET 5""",
+       ("v_jobs", "v_dead_letters"))
+def _(v):
+    return listing.list_dead_letters(v.dead_letters, 3, page=2, size=5).select("dead_letter_id", "tenant_id", "failed_at")
+
+
 @query("submit_validation", "SELECT seq, error FROM checked", ("v_submissions",), _SUBMITTED)
 def _(v):
     return R.with_defaults(v.submissions).select("seq", R.validation_error().alias("error"))

@@ -340,24 +340,34 @@ def _(v):
     return audit.overlapping_attempts(late).select("job_id", "attempt_number", "attempt_id", "previous_end")
 
 
+# Tables in which every rule is broken somewhere.
+_BROKEN = """broken AS (SELECT * REPLACE (CASE WHEN job_id % 11 = 0 THEN 'BROKEN' ELSE status END AS status, CASE WHEN job_id % 13 <> 0 THEN locked_by END AS locked_by) FROM v_jobs),
+overlap AS (SELECT *, max(started_at + INTERVAL '1' MILLISECOND * CAST(duration_ms * 100 AS INT)) OVER (
+  PARTITION BY job_id ORDER BY started_at, attempt_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_end FROM v_attempts)"""
+
+
 @query("audit", """
 SELECT 'attempt_claimed_twice' AS rule, count(*) FILTER (WHERE repeated_numbers > 0) AS violations FROM sequence
 UNION ALL SELECT 'several_open_attempts', count(*) FILTER (WHERE open_attempts > 1) FROM sequence
 UNION ALL SELECT 'attempt_number_missing', count(*) FILTER (WHERE missing_numbers > 0) FROM sequence
-UNION ALL SELECT 'running_job_without_attempt', count(*) FROM v_jobs j WHERE status = 'RUNNING'
+UNION ALL SELECT 'running_job_without_attempt', count(*) FROM broken j WHERE status = 'RUNNING'
   AND NOT EXISTS (SELECT 1 FROM tried t WHERE t.job_id = j.job_id AND t.status = 'RUNNING')
 UNION ALL SELECT 'open_attempt_without_running_job', count(*) FROM tried t WHERE status = 'RUNNING'
-  AND NOT EXISTS (SELECT 1 FROM v_jobs j WHERE t.job_id = j.job_id AND j.status = 'RUNNING')
+  AND NOT EXISTS (SELECT 1 FROM broken j WHERE t.job_id = j.job_id AND j.status = 'RUNNING')
 UNION ALL SELECT 'several_successes', count(*) FROM (SELECT job_id FROM tried WHERE status = 'SUCCEEDED' GROUP BY job_id HAVING count(*) > 1) s
 UNION ALL SELECT 'unpublished_event', count(*) FROM v_outbox WHERE published_at IS NULL
-UNION ALL SELECT 'unknown_status', 0
-UNION ALL SELECT 'running_job_without_owner', count(*) FROM v_jobs WHERE status = 'RUNNING' AND locked_by IS NULL
+UNION ALL SELECT 'unknown_status', count(*) FROM broken WHERE status = 'BROKEN'
+UNION ALL SELECT 'attempts_overlap', count(*) FROM overlap WHERE started_at < previous_end
+UNION ALL SELECT 'running_job_without_owner', count(*) FROM broken WHERE status = 'RUNNING' AND locked_by IS NULL
 UNION ALL SELECT 'idempotency_key_reused', count(*) FROM (
   SELECT tenant_id, idempotency_key FROM v_submissions WHERE idempotency_key IS NOT NULL
   GROUP BY tenant_id, idempotency_key HAVING count(*) > 1) k""",
-       ("v_jobs", "v_attempts", "v_open_attempts", "v_outbox", "v_submissions"), f"{_TRIED},\n{_SEQUENCE}")
+       ("v_jobs", "v_attempts", "v_open_attempts", "v_outbox", "v_submissions"), f"{_TRIED},\n{_SEQUENCE},\n{_BROKEN}")
 def _(v):
-    return audit.audit(v.jobs, _tried(v), v.outbox, v.submissions)
+    jobs = v.jobs.withColumns({"status": F.when(F.col("job_id") % 11 == 0, "BROKEN").otherwise(F.col("status")),
+                               "locked_by": F.when(F.col("job_id") % 13 != 0, F.col("locked_by"))})
+    timed = v.attempts.withColumn("duration_ms", F.col("duration_ms") * 100)
+    return audit.audit(jobs, _tried(v), v.outbox, v.submissions, timed)
 
 
 STATUS_SQL = """CASE event_type WHEN 'job.created' THEN 'PENDING' WHEN 'job.started' THEN 'RUNNING'

@@ -13,7 +13,7 @@ from worktide.plans.views import EVENTS_AS_OF
 from worktide.session import scratch_path
 from worktide.sources import ledger
 from worktide.sources.outlet import file_writer
-from worktide.streaming import relay, seen, stateful, windows
+from worktide.streaming import monitor, relay, seen, stateful, windows
 from worktide.streaming.io import drain, unzoned, zoned
 
 DELAY_HOURS = 2
@@ -131,6 +131,23 @@ def _(v):
     return drain(stateful.lifecycle_stream(given.outbox, DELAY), "lifecycle", end)
 
 
+@query("stream_metrics", """
+SELECT count(*) + 1 + count(*) FILTER (WHERE event_id % 50 = 0) AS input_rows, count(*) FILTER (WHERE event_id % 50 = 0) AS dropped_rows FROM v_outbox""",
+       ("v_outbox",))
+def _(v):
+    """The reports of a stream to which a fiftieth of the rows come once more, too late."""
+    spark, path = v._spark, scratch_path(v._spark, "progress")
+    given, end = _delivered(v)
+
+    def late() -> None:
+        end()
+        v.events.filter("event_id % 50 = 0").coalesce(1).write.mode("append").parquet(given._path)
+
+    with monitor.Monitor(spark, path):
+        drain(stateful.lifecycle_stream(given.outbox, DELAY), "lifecycle", late)
+    return monitor.per_query(monitor.progress(spark, path)).select("input_rows", "dropped_rows")
+
+
 @query("lifecycle_status", """
 SELECT job_id, arg_max(status, (created_at, event_id)) AS status, max(created_at) AS since FROM judged GROUP BY job_id""",
        ("v_outbox",), STEPS)

@@ -174,6 +174,7 @@ class Views:
         other = Views(self._spark, self._dir)
         # A pattern, because the file source wants a folder or a glob and the table may be either.
         path = path or f"{self._dir}/{table}.parque[t]"
+        other._path = path
         other._built[table] = stream_table(self._spark, path, RAW_SCHEMAS[table], files_per_batch=files_per_batch)
         return other
 
