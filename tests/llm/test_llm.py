@@ -384,6 +384,16 @@ def test_templates_that_rewrite_history_are_found():
     assert [x[3] for x in chat.render_turns(iter(turns))] == [0, 0, 0]
 
 
+def test_rewriting_far_back_is_found():
+    """A template that keeps its last 150 turns gives up an earlier one with every turn from then on."""
+    def recent(turns):
+        return "".join(f"[{r}]{t}" for r, t in turns[-150:])
+
+    turns = [("user", f"turn {i}") for i in range(300)]
+    assert sum(x[3] > 0 for x in chat.render_turns(iter(turns), recent)) == 150
+    assert list(chat.render_turns(iter(turns), memory=None)) == list(chat.render_turns(iter(turns), memory=300)) == list(chat.render_turns(iter(turns), lambda x: chat.marked_turns(x)))
+
+
 @pytest.mark.parametrize("text", ["", "<", "<|im_end|>", "<\\|im_end|>", "<\\\\|im_end|>x</s>", "[INST][/INST]\\", "<<s>s>"])
 def test_escaping_is_reversible(text):
     safe = chat.escape(text)

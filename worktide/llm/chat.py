@@ -5,10 +5,11 @@ what a turn adds to the rendering before it is the turn's span, and two renderin
 show where the text stands in it. A template whose longer rendering does not begin with the shorter one rewrites
 history; the turn says how many characters of earlier output were given up.
 
-A conversation longer than ``WINDOW`` turns is rendered in windows: the next one starts from the last turn, provided
-that turn's addition is the same there as after the whole window; otherwise the window grows, and the result stays exact.
-Turns stream through sorted partitions, one output row a turn, so a conversation of any length needs the memory of a
-window. Turns are ordered by number, role and text, nulls first; null roles and texts are empty; repeated rows are
+A template may declare its ``memory``: the number of turns before a turn that its addition, and anything it rewrites, depend on.
+Then each prefix is rendered from so many turns back. A template that declares none has every prefix rendered from
+the first turn, so that no rewriting is missed however far back it reaches; a conversation's cost then grows with the square of its
+length. Turns stream through sorted partitions, one output row a turn, so a conversation of any length needs the
+memory of the template. Turns are ordered by number, role and text, nulls first; null roles and texts are empty; repeated rows are
 repeated turns; an empty table gives no rows; other columns are not touched.
 """
 
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 Template = Callable[[list[tuple[str, str]]], str]
-WINDOW = 128
 LOSS_ROLES = ("assistant",)
 
 #: Control strings of this template and of other common ones: none of them may be read out of a text.
@@ -57,6 +57,10 @@ def marked_turns(turns: list[tuple[str, str]]) -> str:
                    for role, text in turns)
 
 
+#: Each turn stands for itself; the one before it is rendered too, so that its end is seen to stay.
+marked_turns.memory = 1
+
+
 def read_turn(piece: str) -> tuple[str, str]:
     """Role and text of one turn of ``marked_turns``."""
     head, _, rest = piece.removeprefix("<|im_start|>").partition("\n")
@@ -68,17 +72,15 @@ def _shared(a: str, b: str) -> int:
     return len(os.path.commonprefix([a, b]))
 
 
-def render_turns(turns: Iterator[tuple[str, str]], template: Template = marked_turns, window: int = WINDOW) -> Iterator[tuple]:
-    """For each turn: (piece, text start, text end, rewritten), offsets within the piece."""
+def render_turns(turns: Iterator[tuple[str, str]], template: Template = marked_turns, memory: int | None = None) -> Iterator[tuple]:
+    """For each turn: (piece, text start, text end, rewritten), offsets within the piece. ``memory`` is the template's own unless given."""
+    memory = getattr(template, "memory", None) if memory is None else memory
     held: list[tuple[str, str]] = []
     before = ""
     for role, text in turns:
-        if len(held) >= window:
-            last = held[-1:]
-            probe = (role, text)
-            alone = template(last)
-            if template([*held, probe])[len(before):] == template([*last, probe])[len(alone):] and template([*held, probe]).startswith(before):
-                held, before = last, alone
+        if memory is not None and len(held) > memory:
+            held = held[len(held) - memory:]
+            before = template(held)
         now = template([*held, (role, text)])
         kept = len(before) if now.startswith(before) else _shared(before, now)
         # Two texts that differ in their first character show where the text begins and what follows it.
@@ -97,7 +99,7 @@ def format_turns(conversations: DataFrame, template: Template = marked_turns, lo
                  conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per turn, the turns of a conversation one after the other: its piece of the formatted text, where the
     turn's own text stands in it, whether that is under the loss mask, and how much earlier output it rewrote."""
-    kind = conversations.schema[conv].dataType.simpleString()
+    kind, memory = conversations.schema[conv].dataType.simpleString(), getattr(template, "memory", None)
     rows = conversations.select(conversations[conv].alias("conv_id"), conversations[turn].alias("turn"),
                                 F.coalesce(conversations[role].cast("string"), F.lit("")).alias("role"),
                                 F.coalesce(conversations[text].cast("string"), F.lit("")).alias("text"))
@@ -123,7 +125,7 @@ def format_turns(conversations: DataFrame, template: Template = marked_turns, lo
                     yield pair
 
             roles: list[str] = []
-            for place, (piece, start, end, rewritten) in enumerate(render_turns(own(), template)):
+            for place, (piece, start, end, rewritten) in enumerate(render_turns(own(), template, memory)):
                 out.append({"conv_id": current, "place": place, "role": roles[place], "piece": piece, "text_start": start,
                             "text_end": end, "loss": roles[place] in loss_roles, "rewritten": rewritten})
                 if len(out) == 1024:
