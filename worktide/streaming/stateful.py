@@ -5,8 +5,8 @@ results do not depend on which file or micro-batch brought a row. They equal the
 later than ``delay``; Spark drops later ones and counts them in the progress report's ``numRowsDroppedByWatermark``.
 Rows still waiting when a stream stops come out when it goes on. Rows without a time are left out.
 
-The state is typed and lives in the RocksDB store: what is known of a key, and its waiting rows in slots of time, a map
-entry for each slot and micro-batch. Slots are narrow near the watermark and eight times as wide at each step further
+The state is typed and lives in the RocksDB store: one value with what is known of a key and its waiting rows, as long as they are
+few. The rows of a busier key wait in slots of time, a map entry for each slot and micro-batch. Slots are narrow near the watermark and eight times as wide at each step further
 ahead; one timer a key opens what the watermark reaches, and rows of a wide slot that are not due move to narrower ones. A row is thus written and
 read at most once a step, however many rows wait beside it: a hot key's micro-batch costs what is new and what is due.
 One task works on a key in a micro-batch; the batch forms in ``operators`` cut hot keys into chunks instead.
@@ -28,6 +28,8 @@ from worktide.operators.audit import allowed_step
 from worktide.operators.limits import BucketFold
 
 _STEP = 8
+#: Up to so many waiting rows are kept in a key's own value.
+_FEW = 64
 
 
 class _Watcher:
@@ -59,24 +61,31 @@ def _in_order(row: Sequence) -> tuple:
 class _InEventOrder(StatefulProcessor):
     """Feeds ``watcher`` each key's rows as the watermark passes them."""
 
-    def __init__(self, watcher: _Watcher, row_type: T.StructType, names: Sequence[str], base_ms: int):
-        self.watcher, self.row_type, self.base = watcher, row_type, base_ms
+    def __init__(self, watcher: _Watcher, known_type: T.StructType, row_type: T.StructType, names: Sequence[str], base_ms: int):
+        self.watcher, self.known_type, self.row_type, self.base = watcher, known_type, row_type, base_ms
         self.made = Row(*names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.known = handle.getValueState("known", self.watcher.known)
-        # The slots in use with their numbers of chunks, and the time of the key's timer.
-        self.index = handle.getValueState("slots", "levels array<int>, places array<bigint>, chunks array<int>, timer bigint")
-        self.waiting = handle.getMapState("waiting", "level int, place bigint, chunk int", T.StructType([T.StructField("rows", T.ArrayType(self.row_type))]))
-
-    def _load(self) -> tuple[dict[tuple[int, int], int], int | None]:
-        held = self.index.get()
+        # What is known, the few rows that wait, the slots in use with their numbers of chunks, and the time of the key's timer.
+        rows = T.StructType([T.StructField("rows", T.ArrayType(self.row_type))])
+        own = T.StructType([T.StructField("known", self.known_type), *rows.fields, *[T.StructField(n, T.ArrayType(k)) for n, k in (
+            ("levels", T.IntegerType()), ("places", T.LongType()), ("chunks", T.IntegerType()))], T.StructField("timer", T.LongType())])
+        self.own = handle.getValueState("own", own)
+        self.waiting = handle.getMapState("waiting", "level int, place bigint, chunk int", rows)
+
+    def _load(self) -> tuple[tuple | None, list[tuple], dict[tuple[int, int], int], int | None]:
+        held = self.own.get()
         if held is None:
-            return {}, None
-        return {(level, place): n for level, place, n in zip(held[0], held[1], held[2], strict=True)}, held[3]
-
-    def _put(self, slots: dict, rows: list[tuple], mark: int) -> None:
+            return None, [], {}, None
+        known, rows, levels, places, chunks, timer = held
+        slots = {(level, place): n for level, place, n in zip(levels, places, chunks, strict=True)}
+        return None if known is None else tuple(known), [tuple(r) for r in rows], slots, timer
+
+    def _put(self, slots: dict, rows: list[tuple], mark: int) -> list[tuple]:
+        """Keeps the rows: returns them if they are few and no slot is in use, or else puts them into slots."""
+        if not slots and len(rows) <= _FEW:
+            return rows
         new: dict[tuple[int, int], list[tuple]] = {}
         for row in rows:
             at, level, width = row[0] // 1000, 0, self.base
@@ -87,6 +96,7 @@ class _InEventOrder(StatefulProcessor):
             chunk = slots.get(slot, 0)
             self.waiting.updateValue((*slot, chunk), (found,))
             slots[slot] = chunk + 1
+        return []
 
     def _take(self, slots: dict, mark: int) -> list[tuple]:
         """The rows of the slots that the watermark has entered, out of the state."""
@@ -97,12 +107,11 @@ class _InEventOrder(StatefulProcessor):
                 self.waiting.removeKey((level, place, chunk))
         return rows
 
-    def _save(self, slots: dict, known: tuple | None, timer: int | None, mark: int) -> None:
-        times = []
-        for level, place in slots:
-            width = self.base * _STEP ** level
-            # A narrow slot opens when it has passed, a wide one when its first stretch has.
-            times.append(max(place * width + self.base, mark) + 1)
+    def _save(self, known: tuple | None, few: list[tuple], slots: dict, timer: int | None, mark: int) -> None:
+        # A narrow slot opens when it has passed, a wide one when its first stretch has.
+        times = [max(place * self.base * _STEP ** level + self.base, mark) + 1 for level, place in slots]
+        if few:
+            times.append(max(min(row[0] for row in few) // 1000 + self.base, mark) + 1)
         if known is not None and self.watcher.wake(known) is not None:
             times.append(max(_milliseconds(self.watcher.wake(known)), mark) + 1)
         wanted = min(times, default=None)
@@ -111,24 +120,23 @@ class _InEventOrder(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             if wanted is not None:
                 self.handle.registerTimer(wanted)
-        if wanted is None:
-            self.index.clear()
+        if wanted is None and known is None:
+            self.own.clear()
         else:
             levels, places = zip(*slots, strict=True) if slots else ((), ())
-            self.index.update((list(levels), list(places), list(slots.values()), wanted))
+            self.own.update((known, few, list(levels), list(places), list(slots.values()), wanted))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802,N803
         mark = max(0, timerValues.getCurrentWatermarkInMs())
-        slots, timer = self._load()
-        self._put(slots, [tuple(row[name] for name in self.row_type.names) for row in rows], mark)
-        self._save(slots, self.known.get(), timer, mark)
+        known, few, slots, timer = self._load()
+        few = self._put(slots, few + [tuple(row[name] for name in self.row_type.names) for row in rows], mark)
+        self._save(known, few, slots, timer, mark)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802,N803
         mark = timerValues.getCurrentWatermarkInMs()
-        slots, timer = self._load()
-        rows = sorted(self._take(slots, mark), key=_in_order)
-        before = known = self.known.get()
+        known, few, slots, timer = self._load()
+        rows = sorted(few + self._take(slots, mark), key=_in_order)
         said, passed = [], 0
         while passed < len(rows) and _milliseconds(rows[passed][0]) < mark:
             known, more = self.watcher.step(known, rows[passed])
@@ -136,13 +144,8 @@ class _InEventOrder(StatefulProcessor):
             passed += 1
         known, more = self.watcher.settle(known, mark * 1000)
         said += more
-        if known != before:
-            if known is None:
-                self.known.clear()
-            else:
-                self.known.update(tuple(known))
-        self._put(slots, rows[passed:], mark)
-        self._save(slots, known, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer, mark)
+        few = self._put(slots, rows[passed:], mark)
+        self._save(known, few, slots, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer, mark)
         for values in said:
             yield self.made(key[0], *values)
 
@@ -156,7 +159,7 @@ def _in_event_order(rows: DataFrame, key: str, ts: Column, row_id: str, carried:
     made = f"{key} {dict(rows.dtypes)[key]}, {outputs}"
     names = [key, *[part.split()[0] for part in outputs.split(", ")]]
     base = max(1, pd.Timedelta(delay).value // 1_000_000 // _STEP)
-    return keyed.groupBy(key).transformWithState(_InEventOrder(watcher, row_type, names, base), made, "Append", "EventTime")
+    return keyed.groupBy(key).transformWithState(_InEventOrder(watcher, T.StructType.fromDDL(watcher.known), row_type, names, base), made, "Append", "EventTime")
 
 
 class _Lifecycle(_Watcher):
