@@ -32,8 +32,8 @@ RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 #: Item tables of up to so many rows, narrow ones but for one shingle each, and so many characters of shingles are broadcast.
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 16 << 20
-#: Up to so many different shingles of items are looked for within the rows of the documents; more are joined.
-SEEDS_IN_PLAN = 20_000
+#: Up to so many windows (two short numbers each; a document counts as four more) are broadcast.
+BROADCAST_WINDOWS = 1_000_000
 #: Units of a weight.
 UNIT = 1 << 40
 
@@ -75,50 +75,40 @@ def item_table(items: DataFrame, item: str = "item_id", text: str = "text") -> D
 
 
 def _docs(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(docs[key].alias("doc_id"), F.xxhash64(whole(docs[text])).alias("digest"),
-                       split_words(ascii_lower(whole(docs[text]))).alias("words"))
+    return docs.select(docs[key].alias("doc_id"), F.xxhash64(whole(docs[text])).alias("digest"), whole(docs[text]).alias("text"))
 
 
-def seeded_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
+def _words(text: str) -> Column:
+    return split_words(ascii_lower(F.col(text)))
+
+
+def seeded_windows(rows: DataFrame, items: DataFrame, small: bool) -> DataFrame:
     """(doc_id, digest, words, start, n): the distinct item-sized windows that share a shingle with an item at its offset.
 
-    Up to ``SEEDS_IN_PLAN`` different shingles of a size are looked for inside each document's row, so that only documents with a hit
-    go on, and their windows are cut where their words are. More are joined by shingle, and the texts are met again by id.
+    The places are found first; the texts of the documents that have any are then read again, beside the places where these are
+    few - so that no text is shuffled - and by id where they are many.
     """
     sizes = sorted(row["size"] for row in items.select("size").distinct().collect())  # 1 to 5
-    found = None
+    starts, split = None, rows.select("doc_id", "digest", _words("text").alias("words"))
     for size in sizes:
         one = (items.filter(F.col("size") == size).select("n", F.posexplode(_hashes(size)).alias("place", "hash"))
                .groupBy("hash").agg(F.collect_set(F.struct("n", "place")).alias("slots")))
-        long_enough = rows.filter(F.size("words") >= size)
-        seeds = [r["hash"] for r in one.select("hash").limit(SEEDS_IN_PLAN + 1).collect()]
-        if len(seeds) <= SEEDS_IN_PLAN:
-            hits = F.filter(F.transform(_hashes(size), lambda h, at: F.struct(at.alias("at"), h.alias("hash"))), lambda x: x["hash"].isin(*seeds))
-            held = long_enough.withColumn("hits", hits).filter(F.size("hits") > 0)
-            each = held.select("doc_id", "digest", "words", F.explode("hits").alias("x")).select("doc_id", "digest", "words", "x.at", "x.hash")
-            part = _cut(_starts(each.withColumn("n_words", F.size("words")).join(F.broadcast(one), "hash"), "words"))
-        else:
-            each = long_enough.select("doc_id", "digest", F.size("words").alias("n_words"), F.posexplode(_hashes(size)).alias("at", "hash"))
-            starts = _starts(each.join(one, "hash")).distinct()
-            # The windows of one document together; then its words are fetched once.
-            starts = starts.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "n")).alias("windows"))
-            starts = starts.select(F.struct("doc_id", "digest").alias("at"), "windows")
-            met = rows.join(starts, F.col("at").eqNullSafe(F.struct("doc_id", "digest")))
-            part = _cut(met.select("doc_id", "digest", "words", F.explode("windows").alias("x")).select("doc_id", "digest", "words", "x.start", "x.n"))
-        found = part if found is None else found.unionByName(part)
-    return found.dropDuplicates(["doc_id", "digest", "start", "n"])
-
-
-def _starts(hits: DataFrame, *carry: str) -> DataFrame:
-    """Where the windows of the hits' slots start; those that would reach over an end of the document are moved inside."""
-    slots = hits.select("doc_id", "digest", "n_words", "at", *carry, F.explode("slots").alias("slot"))
-    start = F.greatest(F.least(F.greatest(F.col("at") - F.col("slot.place"), F.lit(0)), F.col("n_words") - F.col("slot.n")), F.lit(0))
-    return slots.select("doc_id", "digest", *carry, start.alias("start"), F.col("slot.n").alias("n"))
-
-
-def _cut(starts: DataFrame) -> DataFrame:
-    cut = starts.select("doc_id", "digest", "start", F.slice("words", F.col("start") + 1, F.col("n")).alias("words"))
-    return cut.withColumn("n", F.size("words"))
+        each = split.filter(F.size("words") >= size).select("doc_id", "digest", F.size("words").alias("n_words"), F.posexplode(_hashes(size)).alias("at", "hash"))
+        hits = each.join(F.broadcast(one) if small else one, "hash")
+        slots = hits.select("doc_id", "digest", "n_words", "at", F.explode("slots").alias("slot"))
+        # Windows that would reach over an end of the document are moved inside.
+        start = F.greatest(F.least(F.greatest(F.col("at") - F.col("slot.place"), F.lit(0)), F.col("n_words") - F.col("slot.n")), F.lit(0))
+        cut = slots.select("doc_id", "digest", start.alias("start"), F.col("slot.n").alias("n"))
+        starts = cut if starts is None else starts.unionByName(cut)
+    starts = starts.distinct().groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "n")).alias("windows"))
+    starts = saved(starts.select(F.struct("doc_id", "digest").alias("at"), "windows"))
+    few = (starts.agg(F.sum(F.size("windows") + 4)).first()[0] or 0) <= BROADCAST_WINDOWS
+    met = rows.join(F.broadcast(starts) if few else starts, F.col("at").eqNullSafe(F.struct("doc_id", "digest")))
+    # The same text under the same id may stand in several rows.
+    met = met.dropDuplicates(["doc_id", "digest"]).select("doc_id", "digest", _words("text").alias("words"), "windows")
+    cut = met.select("doc_id", "digest", "words", F.explode("windows").alias("x"))
+    cut = cut.select("doc_id", "digest", F.col("x.start").alias("start"), F.slice("words", F.col("x.start") + 1, F.col("x.n")).alias("words"))
+    return cut.withColumn("n", F.size("words")).dropDuplicates(["doc_id", "digest", "start", "n"])
 
 
 def _hashes(size: int) -> Column:
@@ -160,8 +150,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     small = (amount["rows"] or 0) <= BROADCAST_ROWS and (amount["chars"] or 0) <= BROADCAST_CHARS
     hint = F.broadcast if small else (lambda df: df)
     rows = _docs(docs, key, text)
-    windows = seeded_windows(rows, found) if amount["rows"] else rows.select(
-        "doc_id", "digest", F.lit(0).alias("start"), "words", F.lit(0).alias("n")).limit(0)
+    windows = seeded_windows(rows, found, small) if amount["rows"] else rows.select(
+        "doc_id", "digest", F.lit(0).alias("start"), _words("text").alias("words"), F.lit(0).alias("n")).limit(0)
     windows = windows.withColumns({"low": fingerprint(F.col("words"), 0), "high": fingerprint(F.col("words"), 1)})
     windows = saved(windows.withColumn("win", F.monotonically_increasing_id()))
 
