@@ -133,7 +133,8 @@ def hamming_pairs(windows: DataFrame, items: DataFrame, similarity: float = SIMI
     """(win, entry): windows and items of like length within the radius, each pair once. ``windows`` has win, n, low and high."""
     probes = windows.select("win", "n", "low", "high", F.explode(F.array(
         *[F.struct(F.lit(k).alias("block"), block(F.col("low"), F.col("high"), k).alias("value")) for k in range(BLOCKS)])).alias("probe"))
-    met = probes.join(item_index(items), "probe").filter(_alike(similarity) & (distance(F.col("low"), F.col("high"), F.col("item_low"), F.col("item_high")) <= RADIUS))
+    # Thousands of rows an item, which Spark's estimate does not see: never broadcast.
+    met = probes.join(item_index(items).hint("merge"), "probe").filter(_alike(similarity) & (distance(F.col("low"), F.col("high"), F.col("item_low"), F.col("item_high")) <= RADIUS))
     return met.select("win", "entry").distinct()
 
 
