@@ -5,7 +5,10 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from worktide.operators import leases
 from worktide.operators.audit import transition_audit
@@ -140,3 +143,63 @@ def test_relay_publishes_what_is_unpublished_and_resumes(spark, files, events, t
     assert records.count() == 200
     ids = {int(r.i) for r in records.select(F.get_json_object("value", "$.event_id").alias("i")).collect()}
     assert ids == {i for i in range(300) if i % 3}
+
+
+class Held:
+    """State of one key, without Spark: a value, a map whose writes are counted, and timers."""
+
+    def __init__(self):
+        self.value, self.map, self.timers, self.moved = None, {}, set(), 0
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def getValueState(self, *_):  # noqa: N802
+        return self
+
+    getMapState = getValueState  # noqa: N815
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.moved += 1
+        self.map[key] = value
+
+    def getValue(self, key):  # noqa: N802
+        return self.map[key]
+
+    def removeKey(self, key):  # noqa: N802
+        del self.map[key]
+
+
+START, MINUTE = 1_700_000_000_000_000, 60_000_000
+
+
+def fed(watcher, carried, outputs, batches):
+    """What ``watcher`` says of one key to micro-batches (watermark in minutes, rows), at once, and the key's state."""
+    given, held = Row("key", "__us", "id", *carried), Held()
+    row_type = T.StructType([T.StructField("__us", T.LongType()), T.StructField("id", T.LongType()), *[T.StructField(n, T.StringType()) for n in carried]])
+    processor = stateful._InEventOrder(watcher, T.StructType.fromDDL(watcher.known), row_type, ["key", *outputs], 900_000)
+    processor.init(held)
+    told = []
+    for minute, rows in batches:
+        mark = 0 if minute is None else (START + minute * MINUTE) // 1000
+        said = processor.handleInputRows(("k",), iter([given("k", START + at * MINUTE, i, *rest) for i, at, *rest in rows]), TimerValues(-1, mark))
+        told += [values for row in said for values in zip(*row[1:], strict=True)]
+    return told, held
+
+
+def test_rows_the_watermark_has_passed_are_judged_as_they_come(spark):
+    rows = [(i, i, KINDS[i % 5], "AB"[i % 2]) for i in range(80)]
+    random.Random(5).shuffle(rows)
+    first, second = [r for r in rows if r[0] < 40], [r for r in rows if r[0] >= 40]
+    told, held = fed(stateful._Lifecycle(None), ["event_type", "status"], ["event_id", "us", "event_type", "status", "previous_status"],
+                     [(None, first), (60, second)])
+    assert told == [(i, START + i * MINUTE, KINDS[i % 5], "AB"[i % 2], "BA"[i % 2] if i else None) for i in range(60)]
+    # Together they are more than a key's value keeps, yet no row went through the slots; one timer is left for the others.
+    assert held.moved == 0 and len(held.timers) == 1 and min(held.timers) > (START + 60 * MINUTE) // 1000

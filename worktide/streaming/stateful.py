@@ -3,7 +3,8 @@
 Rows wait in their key's state until the watermark has passed them and are then taken in (time, id) order, so the
 results do not depend on which file or micro-batch brought a row. They equal the batch forms' as long as no row comes
 later than ``delay``; Spark drops later ones and counts them in the progress report's ``numRowsDroppedByWatermark``.
-Rows still waiting when a stream stops come out when it goes on. Rows without a time are left out.
+Rows still waiting when a stream stops come out when it goes on. Rows without a time are left out. What is due is taken
+with the key's new rows if some come in that micro-batch, or else by a timer.
 
 The state is typed and lives in the RocksDB store: one value with what is known of a key and its waiting rows, as long as they are
 few. The rows of a busier key wait in slots of time, a map entry for each slot and micro-batch. Slots are narrow near the watermark and eight times as wide at each step further
@@ -15,6 +16,7 @@ One task works on a key in a micro-batch; the batch forms in ``operators`` cut h
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
@@ -30,6 +32,8 @@ from worktide.operators.limits import BucketFold
 _STEP = 8
 #: Up to so many waiting rows are kept in a key's own value.
 _FEW = 64
+#: Up to so many answers go out in one row, as one array a column.
+_TOLD = 1000
 
 
 class _Watcher:
@@ -58,6 +62,15 @@ def _in_order(row: Sequence) -> tuple:
     return row[0], row[1] is not None, row[1]
 
 
+def _as_columns(rows: list[tuple]) -> tuple | None:
+    """Rows as one list a column; None for no rows."""
+    return tuple(map(list, zip(*rows, strict=True))) if rows else None
+
+
+def _as_rows(columns: Sequence[Sequence] | None) -> list[tuple]:
+    return list(zip(*columns, strict=True)) if columns is not None else []
+
+
 class _InEventOrder(StatefulProcessor):
     """Feeds ``watcher`` each key's rows as the watermark passes them."""
 
@@ -68,19 +81,20 @@ class _InEventOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         # What is known, the few rows that wait, the slots in use with their numbers of chunks, and the time of the key's timer.
-        rows = T.StructType([T.StructField("rows", T.ArrayType(self.row_type))])
-        own = T.StructType([T.StructField("known", self.known_type), *rows.fields, *[T.StructField(n, T.ArrayType(k)) for n, k in (
+        # Rows are kept as one array a column: an array of structs costs several times as much to hand over.
+        columns = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in self.row_type.fields])
+        own = T.StructType([T.StructField("known", self.known_type), T.StructField("rows", columns), *[T.StructField(n, T.ArrayType(k)) for n, k in (
             ("levels", T.IntegerType()), ("places", T.LongType()), ("chunks", T.IntegerType()))], T.StructField("timer", T.LongType())])
         self.own = handle.getValueState("own", own)
-        self.waiting = handle.getMapState("waiting", "level int, place bigint, chunk int", rows)
+        self.waiting = handle.getMapState("waiting", "level int, place bigint, chunk int", columns)
 
     def _load(self) -> tuple[tuple | None, list[tuple], dict[tuple[int, int], int], int | None]:
         held = self.own.get()
         if held is None:
             return None, [], {}, None
-        known, rows, levels, places, chunks, timer = held
+        known, columns, levels, places, chunks, timer = held
         slots = {(level, place): n for level, place, n in zip(levels, places, chunks, strict=True)}
-        return None if known is None else tuple(known), [tuple(r) for r in rows], slots, timer
+        return None if known is None else tuple(known), _as_rows(columns), slots, timer
 
     def _put(self, slots: dict, rows: list[tuple], mark: int) -> list[tuple]:
         """Keeps the rows: returns them if they are few and no slot is in use, or else puts them into slots."""
@@ -94,7 +108,7 @@ class _InEventOrder(StatefulProcessor):
             new.setdefault((level, at // width), []).append(row)
         for slot, found in new.items():
             chunk = slots.get(slot, 0)
-            self.waiting.updateValue((*slot, chunk), (found,))
+            self.waiting.updateValue((*slot, chunk), _as_columns(found))
             slots[slot] = chunk + 1
         return []
 
@@ -103,18 +117,34 @@ class _InEventOrder(StatefulProcessor):
         rows = []
         for level, place in [s for s in slots if s[1] * self.base * _STEP ** s[0] < mark]:
             for chunk in range(slots.pop((level, place))):
-                rows.extend(tuple(row) for row in self.waiting.getValue((level, place, chunk))[0])
+                rows.extend(_as_rows(self.waiting.getValue((level, place, chunk))))
                 self.waiting.removeKey((level, place, chunk))
         return rows
 
-    def _save(self, known: tuple | None, few: list[tuple], slots: dict, timer: int | None, mark: int) -> None:
+    def _opens(self, known: tuple | None, few: list[tuple], slots: dict) -> int | None:
+        """When, in milliseconds, the key has something to say or to move."""
         # A narrow slot opens when it has passed, a wide one when its first stretch has.
-        times = [max(place * self.base * _STEP ** level + self.base, mark) + 1 for level, place in slots]
+        times = [place * self.base * _STEP ** level + self.base for level, place in slots]
         if few:
-            times.append(max(min(row[0] for row in few) // 1000 + self.base, mark) + 1)
+            times.append(min(row[0] for row in few) // 1000 + self.base)
         if known is not None and self.watcher.wake(known) is not None:
-            times.append(max(_milliseconds(self.watcher.wake(known)), mark) + 1)
-        wanted = min(times, default=None)
+            times.append(_milliseconds(self.watcher.wake(known)))
+        return min(times, default=None)
+
+    def _pass(self, known: tuple | None, few: list[tuple], slots: dict, mark: int) -> tuple[tuple | None, list[tuple], list[tuple]]:
+        """Takes what the watermark has passed: what is known then, the few rows left, and what is said."""
+        rows = sorted(few + self._take(slots, mark), key=_in_order)
+        said, passed = [], 0
+        while passed < len(rows) and _milliseconds(rows[passed][0]) < mark:
+            known, more = self.watcher.step(known, rows[passed])
+            said += more
+            passed += 1
+        known, more = self.watcher.settle(known, mark * 1000)
+        return known, self._put(slots, rows[passed:], mark), said + more
+
+    def _save(self, known: tuple | None, few: list[tuple], slots: dict, timer: int | None, mark: int) -> None:
+        opens = self._opens(known, few, slots)
+        wanted = None if opens is None else max(opens, mark) + 1
         if wanted != timer:
             if timer is not None:
                 self.handle.deleteTimer(timer)
@@ -124,30 +154,35 @@ class _InEventOrder(StatefulProcessor):
             self.own.clear()
         else:
             levels, places = zip(*slots, strict=True) if slots else ((), ())
-            self.own.update((known, few, list(levels), list(places), list(slots.values()), wanted))
+            self.own.update((known, _as_columns(few), list(levels), list(places), list(slots.values()), wanted))
+
+    def _tell(self, key: tuple, said: list[tuple]) -> Iterator[Row]:
+        for start in range(0, len(said), _TOLD):
+            yield self.made(key[0], *_as_columns(said[start:start + _TOLD]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802,N803
         mark = max(0, timerValues.getCurrentWatermarkInMs())
         known, few, slots, timer = self._load()
-        few = self._put(slots, few + [tuple(row[name] for name in self.row_type.names) for row in rows], mark)
+        new, said = self._picked(rows), []
+        opens = self._opens(known, few + new, slots)
+        if 0 < mark and opens is not None and opens < mark:
+            # The watermark has passed these rows and all of this micro-batch are here: no need to keep them for a timer.
+            known, few, said = self._pass(known, few + new, slots, mark)
+        else:
+            few = self._put(slots, few + new, mark)
         self._save(known, few, slots, timer, mark)
-        return iter(())
+        return self._tell(key, said)
+
+    def _picked(self, rows: Iterator[Row]) -> list[tuple]:
+        found = list(rows)
+        return list(map(itemgetter(*map(found[0].__fields__.index, self.row_type.names)), found)) if found else []
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802,N803
         mark = timerValues.getCurrentWatermarkInMs()
         known, few, slots, timer = self._load()
-        rows = sorted(few + self._take(slots, mark), key=_in_order)
-        said, passed = [], 0
-        while passed < len(rows) and _milliseconds(rows[passed][0]) < mark:
-            known, more = self.watcher.step(known, rows[passed])
-            said += more
-            passed += 1
-        known, more = self.watcher.settle(known, mark * 1000)
-        said += more
-        few = self._put(slots, rows[passed:], mark)
+        known, few, said = self._pass(known, few, slots, mark)
         self._save(known, few, slots, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer, mark)
-        for values in said:
-            yield self.made(key[0], *values)
+        return self._tell(key, said)
 
 
 def _in_event_order(rows: DataFrame, key: str, ts: Column, row_id: str, carried: Sequence[str], delay: str,
@@ -156,10 +191,12 @@ def _in_event_order(rows: DataFrame, key: str, ts: Column, row_id: str, carried:
     timed = rows.select(key, ts.cast("timestamp").alias("__ts"), row_id, *carried).withWatermark("__ts", delay)
     keyed = timed.filter(F.col("__ts").isNotNull()).withColumn("__us", F.unix_micros("__ts"))
     row_type = T.StructType([T.StructField(n, keyed.schema[n].dataType) for n in ("__us", row_id, *carried)])
-    made = f"{key} {dict(rows.dtypes)[key]}, {outputs}"
-    names = [key, *[part.split()[0] for part in outputs.split(", ")]]
+    told = T.StructType.fromDDL(outputs).fields
+    made = T.StructType([T.StructField(key, rows.schema[key].dataType), *[T.StructField(f.name, T.ArrayType(f.dataType)) for f in told]])
     base = max(1, pd.Timedelta(delay).value // 1_000_000 // _STEP)
-    return keyed.groupBy(key).transformWithState(_InEventOrder(watcher, T.StructType.fromDDL(watcher.known), row_type, names, base), made, "Append", "EventTime")
+    processor = _InEventOrder(watcher, T.StructType.fromDDL(watcher.known), row_type, made.names, base)
+    found = keyed.groupBy(key).transformWithState(processor, made, "Append", "EventTime")
+    return found.select(key, F.inline(F.arrays_zip(*[f.name for f in told])))
 
 
 class _Lifecycle(_Watcher):
