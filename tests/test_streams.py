@@ -12,7 +12,7 @@ from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from worktide.operators import leases
 from worktide.operators.audit import transition_audit
-from worktide.operators.limits import rate_limit
+from worktide.operators.limits import BucketFold, rate_limit
 from worktide.sources.outlet import file_writer
 from worktide.streaming import relay, stateful, windows
 from worktide.streaming.io import drain, stream_table
@@ -203,3 +203,25 @@ def test_rows_the_watermark_has_passed_are_judged_as_they_come(spark):
     assert told == [(i, START + i * MINUTE, KINDS[i % 5], "AB"[i % 2], "BA"[i % 2] if i else None) for i in range(60)]
     # Together they are more than a key's value keeps, yet no row went through the slots; one timer is left for the others.
     assert held.moved == 0 and len(held.timers) == 1 and min(held.timers) > (START + 60 * MINUTE) // 1000
+
+
+def test_requests_the_watermark_has_passed_are_decided_as_they_come(spark):
+    fold = BucketFold(2, 3 * MINUTE)
+    rows = [(i, i) for i in range(80)]
+    random.Random(6).shuffle(rows)
+    first, second = [r for r in rows if r[0] < 40], [r for r in rows if r[0] >= 40]
+    told, held = fed(stateful._Bucket(fold), [], ["request_id", "allowed", "units_left"], [(None, first), (60, second)])
+    state, expected = fold.start((START,)), []
+    for i in range(60):
+        state, decision = fold.step(state, (START + i * MINUTE,))
+        expected.append((i, *decision))
+    assert told == expected and {allowed for _, allowed, _ in told} == {True, False}
+    assert held.moved == 0 and len(held.timers) == 1
+
+
+def test_rows_wait_for_their_stretch_though_the_watermark_is_inside_it(spark):
+    """New rows do not open what has been kept before a stretch of time has passed: no row is read again and again."""
+    rows = [(i, i // 50, KINDS[0], "A") for i in range(100)]
+    told, held = fed(stateful._Lifecycle(None), ["event_type", "status"], ["event_id", "us", "event_type", "status", "previous_status"],
+                     [(0, rows), (1, [(100, 14, KINDS[0], "A")]), (1, [(101, 14, KINDS[0], "A")])])
+    assert told == [] and held.moved == len(held.map) and held.value[1] is None
