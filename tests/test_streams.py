@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -225,3 +226,56 @@ def test_rows_wait_for_their_stretch_though_the_watermark_is_inside_it(spark):
     told, held = fed(stateful._Lifecycle(None), ["event_type", "status"], ["event_id", "us", "event_type", "status", "previous_status"],
                      [(0, rows), (1, [(100, 14, KINDS[0], "A")]), (1, [(101, 14, KINDS[0], "A")])])
     assert told == [] and held.moved == len(held.map) and held.value[1] is None
+
+
+def test_keys_share_buckets(spark, tmp_path):
+    """The store is called once a bucket, not once a key; null keys, null ids, ids beyond 2**53 and times after 2262 stay what they are."""
+    path, big = str(tmp_path / "many"), 2**60 + 1
+    data = [(None if i % 501 == 0 else big + i, None if i % 7 == 0 else big + i % 3001, 100 + i % 50) for i in range(9000)]
+    # The years 2286 and 8307.
+    data += [(i, 5, s) for i, s in enumerate((10_000_000_000, 10_000_000_020, 10_000_000_025, 200_000_000_000, 200_000_000_001))]
+    sent = spark.createDataFrame(data, "request_id bigint, client_id bigint, s bigint").withColumn("ts", F.timestamp_seconds("s"))
+    sent.coalesce(1).write.parquet(path)
+    found = stateful.rate_limit_stream(stream_table(spark, path, sent.schema), LONG, 2, 60)
+    out = str(tmp_path / "out")
+    said = []
+    for more in (None, [(-1, -1, 250_000_000_000)]):
+        if more:
+            spark.createDataFrame(more, "request_id bigint, client_id bigint, s bigint").withColumn("ts", F.timestamp_seconds("s")).coalesce(1).write.mode(
+                "append").parquet(path)
+        running = found.writeStream.outputMode("append").format("parquet").option("path", out).option(
+            "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        running.awaitTermination()
+        said += running.recentProgress
+    updated = [p.stateOperators[0].numRowsUpdated for p in said if p.numInputRows == len(data)]
+    assert len(updated) == 1 and updated[0] <= 2 * stateful.BUCKETS < 3002
+    told = spark.read.parquet(out).filter("client_id IS NULL OR client_id >= 0")
+    # Null ids of one client and time come in any order.
+    expected = rate_limit(sent.drop("s"), 2, 60).drop("ts").select(told.columns)
+    assert as_set(told) == as_set(expected) and told.filter("client_id IS NULL").count() == 1286
+
+
+def test_what_is_known_of_many_keys_lies_in_pages(spark, monkeypatch):
+    monkeypatch.setattr(stateful, "_PAGE", 3)
+    fold, draw = BucketFold(2, 3 * MINUTE), random.Random(7)
+    minutes = sorted(draw.randrange(400) for _ in range(600)) + [900]
+    sent = [(START + at * MINUTE, i, f"c{draw.randrange(60)}" if at < 350 else "c0") for i, at in enumerate(minutes)]
+    processor, held, told, pages = stateful._InFrames(
+        stateful._Bucket(fold), T.StructType.fromDDL("level bigint, us bigint"), T.StructType.fromDDL("__us bigint, id bigint"),
+        ["key", "request_id", "allowed", "units_left"], 1000), Held(), [], []
+    processor.init(held)
+    for minute in range(0, 1000, 20):
+        rows = [row for row in sent if START + minute * MINUTE <= row[0] < START + (minute + 20) * MINUTE]
+        # Two frames a call, as for more rows than one Arrow batch has.
+        frames = [pd.DataFrame([(0, None, 0, *row) for row in part]) for part in (rows[::2], rows[1::2]) if part]
+        for given, mark in ((frames, minute), (frames[:0], minute + 20)):
+            for frame in processor.handleInputRows((0,), iter(given), TimerValues(-1, (START + mark * MINUTE) // 1000)):
+                told += frame.itertuples(index=False, name=None)
+        pages.append(len(held.value[6]) if held.value else 0)
+    states, expected = {}, []
+    for us, i, key in sent:
+        states[key], decision = fold.step(states.get(key) or fold.start((us,)), (us,))
+        expected.append((key, i, *decision))
+    assert sorted(told) == sorted(expected) and max(pages) == 4
+    # Full buckets are forgotten: nothing is left of them, nor of their pages.
+    assert pages[-1] == 0 and not held.map and held.value is None
